@@ -26,6 +26,7 @@ class Warehouse:
         self.spark, self.folder = spark, folder
         self._raw: dict[str, DataFrame] = {}
         self._clean: dict[str, DataFrame] = {}
+        self.generated: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

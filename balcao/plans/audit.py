@@ -55,10 +55,17 @@ def run_summary(audit: DataFrame) -> DataFrame:
     )
 
 
+def volumes(audit: DataFrame) -> DataFrame:
+    """Rows written per layer and run, with a level."""
+    written = audit.filter(F.col("fase") == WRITE_PHASE)
+    summed = written.groupBy("camada", "run_id").agg(F.sum("row_count").alias("linhas"))
+    return summed.withColumn("nivel", volume_level(F.col("linhas")))
+
+
 def volume_by_layer(audit: DataFrame, keep: int = 3) -> DataFrame:
-    """Rows written per layer in the last ``keep`` runs, newest first, with a level.
+    """``volumes`` of the last ``keep`` runs, newest first.
 
-    The last runs are a top-k of at most ``keep`` rows, which is what is joined.
+    The last runs are a top-k of ``keep`` rows, and only their records are summed.
     """
     last_runs = (
         audit.groupBy("run_id")
@@ -66,11 +73,9 @@ def volume_by_layer(audit: DataFrame, keep: int = 3) -> DataFrame:
         .orderBy(F.desc("run_ts"), F.desc("run_id"))
         .limit(keep)
     )
-    written = audit.filter(F.col("fase") == WRITE_PHASE).join(F.broadcast(last_runs), "run_id")
-    volumes = written.groupBy("camada", "run_id", "run_ts").agg(F.sum("row_count").alias("linhas"))
-    return volumes.withColumn("nivel", volume_level(F.col("linhas"))).orderBy(
-        F.desc("run_ts"), F.desc("run_id"), "camada"
-    )
+    recent = audit.join(F.broadcast(last_runs.select("run_id")), "run_id", "left_semi")
+    dated = volumes(recent).join(F.broadcast(last_runs), "run_id")
+    return dated.orderBy(F.desc("run_ts"), F.desc("run_id"), "camada")
 
 
 def volume_level(rows: Column) -> Column:

@@ -348,7 +348,9 @@ def invariants(
     used = sales.filter(F.col("cupom_id").isNotNull())
     validity = coupons.select("cupom_id", "validade_inicio", "validade_fim")
     per_coupon = used.join(validity, "cupom_id", "left").agg(
-        bad(F.col("data_venda").between("validade_inicio", "validade_fim")).alias("cupom_valido")
+        bad(
+            F.col("data_venda").between(F.col("validade_inicio"), F.col("validade_fim"))
+        ).alias("cupom_valido")
     )
     state = sales.select("venda_id", "status", "data_venda")
     per_review = reviews.join(state, "venda_id", "left").agg(
