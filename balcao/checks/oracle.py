@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from balcao.checks.queries import EARLIER_DAY
+from balcao.checks.queries import EARLIER_DAY, SHARED
 from balcao.checks.standins import STANDINS
 from balcao.checks.warehouse import AS_OF
 from balcao.functions.draws import SCALE, cumulated
@@ -661,5 +661,8 @@ def with_tables(body: str) -> str:
     return f"WITH {', '.join(tables)} {body}" if tables else body
 
 
+BODIES |= {f"gold_shared_{name}": BODIES[f"gold_{name}"] for name in SHARED}
+
+
 def oracle_texts() -> dict[str, str]:
     return {name: with_tables(body) for name, body in BODIES.items()}

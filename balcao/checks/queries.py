@@ -14,7 +14,7 @@ from balcao.operators.ordered import latest_n, latest_per_group
 from balcao.operators.sampling import sample_exact
 from balcao.operators.typing import REJECTED, cast_columns, require_key
 from balcao.plans import audit, datagen, gold, silver
-from balcao.plans.runs import GOLD_JOBS, SILVER_JOBS
+from balcao.plans.runs import DIRECT_GOLD_JOBS, GOLD_JOBS, SILVER_JOBS, Job
 from balcao.sources import drops, layers, schemas
 from balcao.sources.scratch import fresh_path, stage
 
@@ -236,7 +236,9 @@ def review_left_chain(w: Warehouse) -> DataFrame:
 
 def lookup_default(w: Warehouse) -> DataFrame:
     sold = w.raw("vendas").select("venda_id", "cupom_id")
-    return lookups.lookup_default(sold, w.raw("cupons"), "cupom_id", "codigo", "SEM CUPOM")
+    return lookups.lookup_default(
+        sold, w.raw("cupons"), "cupom_id", "codigo", "SEM CUPOM", row_key="venda_id"
+    )
 
 
 def coupon_interval_join(w: Warehouse) -> DataFrame:
@@ -244,18 +246,16 @@ def coupon_interval_join(w: Warehouse) -> DataFrame:
 
 
 def coupon_smallest(w: Warehouse) -> DataFrame:
-    """Each sale with the smallest id among the coupons valid on its day."""
-    per_day = lookups.coupon_days(w.raw("cupons")).groupBy("data_venda").agg(
-        F.min("cupom_id").alias("cupom_id")
-    )
     sold = w.raw("vendas").select("venda_id", "data_venda")
-    return lookups.left_lookup(sold, per_day, "data_venda")
+    return lookups.smallest_valid_coupon(sold, w.raw("cupons"), row_key="venda_id")
 
 
 def coupon_assigned(w: Warehouse) -> DataFrame:
     sold = w.raw("vendas").select("venda_id", "data_venda")
     eligible, pick = F.col("venda_id") % 5 == 0, F.col("venda_id") * 7919
-    return lookups.assign_valid_coupon(sold, w.raw("cupons"), eligible, pick)
+    return lookups.assign_valid_coupon(
+        sold, w.raw("cupons"), eligible, pick, row_key="venda_id"
+    )
 
 
 # --- ordered rows ------------------------------------------------------------------
@@ -356,20 +356,17 @@ def _silver(name: str) -> Query:
     return lambda w: w.cleaned(name)
 
 
-def _gold(name: str) -> Query:
-    job = GOLD_JOBS[name]
-
-    def build(w: Warehouse) -> DataFrame:
-        inputs = [w.clean(table) for _, table in job.inputs]
-        return job.build(*inputs, as_of=AS_OF) if job.dated else job.build(*inputs)
-
-    return build
+def _gold(job: Job) -> Query:
+    return lambda w: w.built(job)
 
 
 def _asked(question: Callable[..., DataFrame], **options) -> Query:
     return lambda w: question(w.raw("pipeline_audit"), **options)
 
 
+# Marts that a whole run derives from the fine summaries.
+SHARED = [*gold.SERVED_BY, "top_clientes", "clientes_rfm"]
+
 QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "pick_latest_drop": pick_drop("latest"),
@@ -404,7 +401,8 @@ QUERIES: dict[str, Query] = {
     "coupon_assigned": coupon_assigned,
     "lookup_default": lookup_default,
     **{f"silver_{name}": _silver(name) for name in SILVER_JOBS},
-    **{f"gold_{name}": _gold(name) for name in GOLD_JOBS},
+    **{f"gold_{name}": _gold(job) for name, job in DIRECT_GOLD_JOBS.items()},
+    **{f"gold_shared_{name}": _gold(GOLD_JOBS[name]) for name in SHARED},
     "audit_append": audit_append,
     "audit_run_summary": _asked(audit.run_summary),
     "audit_volume_by_layer": _asked(audit.volume_by_layer),

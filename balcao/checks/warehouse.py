@@ -12,7 +12,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from balcao.checks.standins import BASE_TABLES, STANDINS, inputs_of
-from balcao.plans.runs import BRONZE, SILVER_JOBS
+from balcao.plans.runs import BRONZE, GOLD, GOLD_JOBS, SILVER, SILVER_JOBS, Job
 from balcao.sources.scratch import stage
 
 AS_OF = "2001-12-31"
@@ -26,6 +26,7 @@ class Warehouse:
         self.spark, self.folder = spark, folder
         self._raw: dict[str, DataFrame] = {}
         self._clean: dict[str, DataFrame] = {}
+        self._summaries: dict[str, DataFrame] = {}
         self.generated: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
@@ -58,10 +59,19 @@ class Warehouse:
 
     def cleaned(self, name: str) -> DataFrame:
         """Plan of a cleaned table over its stored inputs."""
-        job = SILVER_JOBS[name]
-        inputs = [
-            self.raw(table) if layer == BRONZE else self.clean(table) for layer, table in job.inputs
-        ]
+        return self.built(SILVER_JOBS[name])
+
+    def summary(self, name: str) -> DataFrame:
+        """A fine summary, written on first use."""
+        with _LOCK:
+            if name not in self._summaries:
+                self._summaries[name] = stage(self.built(GOLD_JOBS[name]), name)
+            return self._summaries[name]
+
+    def built(self, job: Job) -> DataFrame:
+        """Plan of a table over its stored inputs."""
+        stored = {BRONZE: self.raw, SILVER: self.clean, GOLD: self.summary}
+        inputs = [stored[layer](name) for layer, name in job.inputs]
         return job.build(*inputs, as_of=AS_OF) if job.dated else job.build(*inputs)
 
 

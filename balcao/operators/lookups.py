@@ -18,37 +18,60 @@ from balcao.operators.ordered import position, with_prefix
 NULL_SPREAD = 4096
 
 
-def left_lookup(df: DataFrame, other: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Left join on same-named columns that tolerates many null keys in ``df``."""
+def left_lookup(
+    df: DataFrame, other: DataFrame, keys: str | Sequence[str], row_key: str
+) -> DataFrame:
+    """Left join on same-named columns that tolerates many null keys in ``df``.
+
+    ``row_key`` is a column of ``df`` with many values; rows without a key are
+    spread by it.
+    """
     names = [keys] if isinstance(keys, str) else list(keys)
     no_match = F.lit(False)
     for name in names:
         no_match = no_match | F.col(name).isNull()
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)) + 1
+    spread = F.pmod(F.xxhash64(row_key), F.lit(NULL_SPREAD)) + 1
     salted = df.withColumn("_sal", F.when(no_match, spread).otherwise(F.lit(0).cast("bigint")))
     known = other.withColumn("_sal", F.lit(0).cast("bigint"))
     return salted.join(known, [*names, "_sal"], "left").drop("_sal")
 
 
 def lookup_default(
-    df: DataFrame, other: DataFrame, key: str, column: str, default: object
+    df: DataFrame, other: DataFrame, key: str, column: str, default: object, row_key: str
 ) -> DataFrame:
     """Add ``column`` of ``other`` by ``key``, with ``default`` where nothing is found."""
-    found = left_lookup(df, other.select(key, column), key)
+    found = left_lookup(df, other.select(key, column), key, row_key)
     return found.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
-def coupon_days(coupons: DataFrame) -> DataFrame:
-    """One row per coupon and day of its validity, both ends included."""
-    valid = coupons.filter(F.col("validade_inicio") <= F.col("validade_fim"))
-    days = F.explode(F.sequence("validade_inicio", "validade_fim")).alias("data_venda")
-    return valid.select("cupom_id", days)
+def sale_span(sales: DataFrame) -> tuple[Column, Column]:
+    """First and last sale day, as subqueries of whatever they are used in."""
+    return (
+        sales.agg(F.min("data_venda")).scalar(),
+        sales.agg(F.max("data_venda")).scalar(),
+    )
+
+
+def coupon_days(coupons: DataFrame, first: Column, last: Column) -> DataFrame:
+    """One row per coupon and day of its validity, both ends included.
+
+    Days outside [first, last] are left out, so that an open-ended validity does
+    not unfold into centuries.
+    """
+    start = F.greatest(F.col("validade_inicio"), first)
+    end = F.least(F.col("validade_fim"), last)
+    # greatest and least skip nulls, yet a validity without an end is not valid.
+    clipped = coupons.dropna(subset=["validade_inicio", "validade_fim"]).select(
+        "cupom_id", start.alias("_de"), end.alias("_ate")
+    )
+    days = F.explode(F.sequence("_de", "_ate")).alias("data_venda")
+    return clipped.filter(F.col("_de") <= F.col("_ate")).select("cupom_id", days)
 
 
 def valid_pairs_per_day(sales: DataFrame, coupons: DataFrame) -> DataFrame:
     """Number of (sale, valid coupon) pairs per sale day, without forming the pairs."""
     sold = sales.groupBy("data_venda").agg(F.count(F.lit(1)).alias("vendas"))
-    valid = coupon_days(coupons).groupBy("data_venda").agg(
+    valid = coupon_days(coupons, *sale_span(sales)).groupBy("data_venda").agg(
         F.count(F.lit(1)).alias("cupons"), F.min("cupom_id").alias("menor_cupom")
     )
     return sold.join(valid, "data_venda").select(
@@ -57,24 +80,38 @@ def valid_pairs_per_day(sales: DataFrame, coupons: DataFrame) -> DataFrame:
     )
 
 
+def smallest_valid_coupon(sales: DataFrame, coupons: DataFrame, row_key: str) -> DataFrame:
+    """Each sale with the smallest id among the coupons valid on its day."""
+    per_day = coupon_days(coupons, *sale_span(sales)).groupBy("data_venda").agg(
+        F.min("cupom_id").alias("cupom_id")
+    )
+    return left_lookup(sales, per_day, "data_venda", row_key)
+
+
 def assign_valid_coupon(
-    sales: DataFrame, coupons: DataFrame, eligible: Column, pick: Column
+    sales: DataFrame,
+    coupons: DataFrame,
+    eligible: Column,
+    pick: Column,
+    row_key: str,
+    span: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Give each eligible sale one of the coupons valid on its day, as ``cupom_id``.
 
     Coupons are numbered within each day, and a sale takes number ``pick`` modulo
     the day's count. Both steps are equality joins, so no sale ever meets all the
     coupons of its day. Sales that are not eligible, or have no valid coupon, keep
-    a null.
+    a null. ``span`` bounds the sale days where they are known beforehand.
     """
-    numbered = with_prefix(coupon_days(coupons), ["data_venda"], ["cupom_id"], _vez=position())
+    days = coupon_days(coupons, *(span or sale_span(sales)))
+    numbered = with_prefix(days, ["data_venda"], ["cupom_id"], _vez=position())
     per_day = numbered.groupBy("data_venda").agg(F.max("_vez").alias("_opcoes"))
     drawn = sales.withColumns(
         {"_dia": F.when(eligible, F.col("data_venda")), "_sorteio": pick}
     )
-    counted = left_lookup(drawn, per_day.withColumnRenamed("data_venda", "_dia"), "_dia")
+    counted = left_lookup(drawn, per_day.withColumnRenamed("data_venda", "_dia"), "_dia", row_key)
     placed = counted.withColumn("_vez", F.pmod(F.col("_sorteio"), F.col("_opcoes")) + 1)
     chosen = left_lookup(
-        placed, numbered.withColumnRenamed("data_venda", "_dia"), ["_dia", "_vez"]
+        placed, numbered.withColumnRenamed("data_venda", "_dia"), ["_dia", "_vez"], row_key
     )
     return chosen.drop("_dia", "_vez", "_opcoes", "_sorteio")

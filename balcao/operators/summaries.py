@@ -1,12 +1,14 @@
 """Declared summaries: keys, measures and order of a mart.
 
-Measures are declared by name and built when a session exists, which keeps a mart
-a plain value that can be listed, inspected and tested.
+A measure consists of parts that add up (counts, exact sums, maxima) and a last
+step that turns the merged parts into the reported value. Marts can therefore be
+computed from the rows, or from one finer summary that several marts share, with
+the same result. Measures are declared by name and built when a session exists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,39 +16,96 @@ from pyspark.sql import functions as F
 
 from balcao.functions import money
 
-Measure = Callable[[], Column]
 
+@dataclass(frozen=True)
+class Part:
+    """An aggregate over rows, and how its values over finer groups combine."""
 
-def known(column: str) -> Measure:
-    """Rows in which the column is not null."""
-    return lambda: F.count(column)
+    name: str
+    of_rows: Callable[[], Column]
+    merge: Callable[[str], Column] | None = F.sum
 
 
-def distinct(column: str) -> Measure:
-    return lambda: F.countDistinct(column)
+@dataclass(frozen=True)
+class Measure:
+    parts: Sequence[Part]
+    finish: Callable[..., Column]
+
+
+def _count(column: str) -> Part:
+    return Part(f"n_{column}", lambda: F.count(column))
+
+
+def _sum(column: str) -> Part:
+    return Part(f"soma_{column}", lambda: F.sum(F.col(column).cast(money.AMOUNT)))
+
+
+def known(column: str) -> Measure:
+    """Rows in which the column is not null."""
+    return Measure([_count(column)], lambda n: n)
 
 
 def units(column: str) -> Measure:
-    return lambda: F.sum(column)
+    """Sum of whole numbers."""
+    return Measure([Part(f"itens_{column}", lambda: F.sum(column))], lambda total: total)
 
 
 def amount(column: str) -> Measure:
-    return lambda: money.total(F.col(column))
+    return Measure([_sum(column)], lambda total: F.round(total, 2).cast("double"))
 
 
 def mean(column: str) -> Measure:
-    return lambda: money.mean(F.col(column))
+    return Measure([_sum(column), _count(column)], money.mean_of)
+
+
+def latest(column: str, finish: Callable[[Column], Column] = lambda day: day) -> Measure:
+    return Measure([Part(f"ultimo_{column}", lambda: F.max(column), F.max)], finish)
 
 
-def share_pct(condition: str, of: str) -> Measure:
+def share_pct(name: str, condition: str, of: str) -> Measure:
     """Percentage of the known rows that meet a condition."""
-    return lambda: F.round(
-        F.try_divide(F.count_if(F.expr(condition)) * 100, F.count(of)), 2
-    )
+    hits = Part(f"n_{name}", lambda: F.count_if(F.expr(condition)))
+    return Measure([hits, _count(of)], lambda n, whole: F.round(F.try_divide(n * 100, whole), 2))
+
+
+def distinct(column: str) -> Measure:
+    """Distinct values. They do not add up, so a finer summary must keep the column."""
+    exact = Part(f"distintos_{column}", lambda: F.countDistinct(column), None)
+    return Measure([exact], lambda n: n)
+
+
+def _parts(measures: Iterable[Measure]) -> dict[str, Part]:
+    return {part.name: part for measure in measures for part in measure.parts}
+
+
+def _finished(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+    values = [
+        measure.finish(*[F.col(part.name) for part in measure.parts]).alias(name)
+        for name, measure in measures.items()
+    ]
+    return df.select(*keys, *values)
 
 
 def summarize(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[make().alias(name) for name, make in measures.items()])
+    """Measures per key, from rows."""
+    parts = _parts(measures.values()).values()
+    grouped = df.groupBy(*keys).agg(*[part.of_rows().alias(part.name) for part in parts])
+    return _finished(grouped, keys, measures)
+
+
+def fine_summary(df: DataFrame, keys: Sequence[str], measures: Iterable[Measure]) -> DataFrame:
+    """The parts that add up, per combination of all keys: one pass for many marts."""
+    parts = [part for part in _parts(measures).values() if part.merge]
+    return df.groupBy(*keys).agg(*[part.of_rows().alias(part.name) for part in parts])
+
+
+def roll_up(fine: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+    """Measures per key, from a finer summary."""
+    parts = _parts(measures.values()).values()
+    merged = fine.groupBy(*keys).agg(
+        *[(part.merge(part.name) if part.merge else part.of_rows()).alias(part.name) for part in parts]
+    )
+    return _finished(merged, keys, measures)
 
 
 @dataclass(frozen=True)
@@ -59,8 +118,13 @@ class Mart:
     top: int | None = None
 
     def of(self, df: DataFrame) -> DataFrame:
+        """From rows."""
         return self.arrange(summarize(df, self.keys, self.measures))
 
+    def of_summary(self, fine: DataFrame) -> DataFrame:
+        """From a finer summary that has the mart's keys and parts."""
+        return self.arrange(roll_up(fine, self.keys, self.measures))
+
     def arrange(self, df: DataFrame) -> DataFrame:
         ranked = [F.desc(self.rank_by)] if self.rank_by else []
         ordered = df.orderBy(*ranked, *self.keys)

@@ -205,7 +205,12 @@ def gen_vendas(
         }
     )
     with_coupon = assign_valid_coupon(
-        sold, coupons, d.chance("usa_cupom", V.COUPON_CHANCE), d.bits("cupom")
+        sold,
+        coupons,
+        d.chance("usa_cupom", V.COUPON_CHANCE),
+        d.bits("cupom"),
+        row_key="venda_id",
+        span=(_day(F.lit(0)), _day(F.lit(V.DAYS))),
     )
     return with_coupon.select(*_columns("vendas"))
 
@@ -226,7 +231,7 @@ def gen_fretes(
     taken = d.integer("prazo_real", 1, F.greatest(F.lit(2), promised - 3))
     located = lookup_default(
         sales.select("venda_id", "cliente_id", "status"),
-        customers, "cliente_id", "regiao", V.DEFAULT_REGION,
+        customers, "cliente_id", "regiao", V.DEFAULT_REGION, row_key="venda_id",
     )
     return located.select(
         F.col("venda_id").alias("frete_id"),
@@ -253,7 +258,7 @@ def gen_pagamentos(
     status = F.col("status")
     priced = lookup_default(
         sales.select("venda_id", "produto_id", "quantidade", "desconto_pct", "status"),
-        products, "produto_id", "preco", V.DEFAULT_PRICE,
+        products, "produto_id", "preco", V.DEFAULT_PRICE, row_key="venda_id",
     )
     billed = priced.join(shipping.select("venda_id", "valor_frete"), "venda_id")
     drawn = billed.withColumn("metodo", d.weighted("metodo", V.METHOD_WEIGHTS))

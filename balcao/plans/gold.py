@@ -1,14 +1,32 @@
-"""Business marts over the cleaned tables."""
+"""Business marts over the cleaned tables.
+
+Each mart can be had on its own from the cleaned sales. A whole run goes through
+two fine summaries instead, which read the sales once each and serve ten marts.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from balcao.functions import cleaning, money
-from balcao.operators.summaries import Mart, amount, distinct, known, mean, share_pct, units, summarize
+from balcao.functions import cleaning
+from balcao.operators.summaries import (
+    Mart,
+    Measure,
+    amount,
+    distinct,
+    fine_summary,
+    known,
+    latest,
+    mean,
+    roll_up,
+    share_pct,
+    summarize,
+    units,
+)
 from balcao.operators.typing import require_key
 
 SALES = {"qtd_vendas": known("venda_id")}
@@ -46,21 +64,21 @@ SALES_MARTS = {
         | REVENUE
         | {
             "parcelas_medio": mean("parcelas"),
-            "pct_parcelada": share_pct("parcelas > 1", of="venda_id"),
+            "pct_parcelada": share_pct("parceladas", "parcelas > 1", of="venda_id"),
         },
         "receita_total",
     ),
 }
 
-REVIEWS = {"qtd_avaliacoes": known("avaliacao_id"), "nota_media": mean("nota")}
-BY_CATEGORY = Mart(["categoria"], REVIEWS, "nota_media")
-BY_REGION = Mart(["regiao"], REVIEWS, "nota_media")
 TOP_CUSTOMERS = Mart(
     ["cliente_id", "nome_cliente"],
     {"qtd_compras": known("venda_id"), "total_gasto": amount("valor_total")} | TICKET,
     "total_gasto",
     top=20,
 )
+REVIEWS = {"qtd_avaliacoes": known("avaliacao_id"), "nota_media": mean("nota")}
+BY_CATEGORY = Mart(["categoria"], REVIEWS, "nota_media")
+BY_REGION = Mart(["regiao"], REVIEWS, "nota_media")
 COUPONS = Mart(
     ["cupom_id"],
     {"qtd_usos": known("venda_id"), "receita_com_cupom": amount("valor_total")} | TICKET,
@@ -68,13 +86,84 @@ COUPONS = Mart(
 )
 
 
-def top_clientes(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """Summed per customer first, so one row per customer meets the names."""
-    spent = summarize(sales, ["cliente_id"], TOP_CUSTOMERS.measures)
+def _rfm(as_of: date | str | None) -> Mapping[str, Measure]:
+    since = lambda day: F.datediff(cleaning.reference_day(as_of), day)
+    return {
+        "recencia_dias": latest("data_venda", since),
+        "frequencia": known("venda_id"),
+        "monetario": amount("valor_total"),
+    }
+
+
+# Keys of the fine summaries, and the sales marts that each one serves.
+BY_PRODUCT = "_resumo_produto"
+BY_CUSTOMER = "_resumo_cliente"
+SUMMARY_KEYS = {
+    BY_PRODUCT: ["produto_id", "nome", "categoria", "transportadora", "turno", "metodo"],
+    BY_CUSTOMER: ["cliente_id", "regiao", "ano_mes", "canal"],
+}
+SERVED_BY = {
+    "receita_mensal": BY_CUSTOMER,
+    "receita_regiao": BY_CUSTOMER,
+    "receita_canal": BY_CUSTOMER,
+    "receita_categoria": BY_PRODUCT,
+    "top_produtos": BY_PRODUCT,
+    "ranking_transportadoras": BY_PRODUCT,
+    "vendas_turno": BY_PRODUCT,
+    "metodos_pagamento": BY_PRODUCT,
+}
+
+
+def product_summary(sales: DataFrame) -> DataFrame:
+    return fine_summary(sales, SUMMARY_KEYS[BY_PRODUCT], _measures_served(BY_PRODUCT))
+
+
+def customer_summary(sales: DataFrame) -> DataFrame:
+    per_customer = [*TOP_CUSTOMERS.measures.values(), *_rfm(None).values()]
+    measures = [*_measures_served(BY_CUSTOMER), *per_customer]
+    return fine_summary(sales, SUMMARY_KEYS[BY_CUSTOMER], measures)
+
+
+def _measures_served(summary: str) -> list[Measure]:
+    marts = [SALES_MARTS[name] for name, source in SERVED_BY.items() if source == summary]
+    return [measure for mart in marts for measure in mart.measures.values()]
+
+
+Grouping = Callable[[DataFrame, list[str], Mapping[str, Measure]], DataFrame]
+
+
+def top_clientes(sales: DataFrame, customers: DataFrame, group: Grouping = summarize) -> DataFrame:
+    """Summed per customer first, so one row per customer meets the names.
+
+    With ``group=roll_up``, ``sales`` is the customer summary.
+    """
+    spent = group(sales, ["cliente_id"], TOP_CUSTOMERS.measures)
     names = customers.select("cliente_id", F.col("nome").alias("nome_cliente"))
     return TOP_CUSTOMERS.arrange(spent.join(names, "cliente_id"))
 
 
+def clientes_rfm(
+    sales: DataFrame,
+    customers: DataFrame,
+    as_of: date | str | None = None,
+    group: Grouping = summarize,
+) -> DataFrame:
+    """Recency in days, frequency and money spent per customer."""
+    scored = group(sales, ["cliente_id"], _rfm(as_of))
+    who = customers.select("cliente_id", "nome", "regiao", "faixa_score")
+    return scored.join(who, "cliente_id").orderBy(F.desc("monetario"), "cliente_id")
+
+
+def top_clientes_of_summary(fine: DataFrame, customers: DataFrame) -> DataFrame:
+    return top_clientes(fine, customers, roll_up)
+
+
+def clientes_rfm_of_summary(
+    fine: DataFrame, customers: DataFrame, as_of: date | str | None = None
+) -> DataFrame:
+    return clientes_rfm(fine, customers, as_of, roll_up)
+
+
 def satisfacao_categoria(reviews: DataFrame) -> DataFrame:
     """Reviews without a surviving sale form the group of the null category."""
     return BY_CATEGORY.of(reviews)
@@ -82,22 +171,10 @@ def satisfacao_categoria(reviews: DataFrame) -> DataFrame:
 
 def satisfacao_regiao(reviews: DataFrame, customers: DataFrame) -> DataFrame:
     """Partial sums per customer meet the regions, not single reviews."""
-    per_customer = (
-        require_key(reviews, "cliente_id")
-        .groupBy("cliente_id")
-        .agg(
-            F.count("avaliacao_id").alias("qtd_avaliacoes"),
-            F.sum(F.col("nota").cast("bigint")).alias("_soma"),
-            F.count("nota").alias("_notas"),
-        )
-    )
+    with_sale = require_key(reviews, "cliente_id")
+    per_customer = fine_summary(with_sale, ["cliente_id"], BY_REGION.measures.values())
     located = per_customer.join(customers.select("cliente_id", "regiao"), "cliente_id")
-    return BY_REGION.arrange(
-        located.groupBy("regiao").agg(
-            F.sum("qtd_avaliacoes").alias("qtd_avaliacoes"),
-            money.mean_of(F.sum("_soma"), F.sum("_notas")).alias("nota_media"),
-        )
-    )
+    return BY_REGION.of_summary(located)
 
 
 def estoque_critico(products: DataFrame) -> DataFrame:
@@ -107,20 +184,6 @@ def estoque_critico(products: DataFrame) -> DataFrame:
     return gone.select(*columns).orderBy("estoque", "produto_id")
 
 
-def clientes_rfm(
-    sales: DataFrame, customers: DataFrame, as_of: date | str | None = None
-) -> DataFrame:
-    """Recency in days, frequency and money spent per customer."""
-    measures = {
-        "recencia_dias": lambda: F.datediff(cleaning.reference_day(as_of), F.max("data_venda")),
-        "frequencia": known("venda_id"),
-        "monetario": amount("valor_total"),
-    }
-    scored = summarize(sales, ["cliente_id"], measures)
-    who = customers.select("cliente_id", "nome", "regiao", "faixa_score")
-    return scored.join(who, "cliente_id").orderBy(F.desc("monetario"), "cliente_id")
-
-
 def cupons_performance(sales: DataFrame, coupons: DataFrame) -> DataFrame:
     used = summarize(require_key(sales, "cupom_id"), ["cupom_id"], COUPONS.measures)
     about = coupons.select("cupom_id", "codigo", "tipo", "valor", "categoria")

@@ -64,7 +64,8 @@ SILVER_JOBS = {
     ),
 }
 
-GOLD_JOBS = {
+# Marts straight from the cleaned tables, one scan each.
+DIRECT_GOLD_JOBS = {
     **{name: Job(mart.of, _from(SILVER, "vendas")) for name, mart in gold.SALES_MARTS.items()},
     "top_clientes": Job(gold.top_clientes, _from(SILVER, "vendas", "clientes")),
     "satisfacao_categoria": Job(gold.satisfacao_categoria, _from(SILVER, "avaliacoes")),
@@ -74,6 +75,25 @@ GOLD_JOBS = {
     "cupons_performance": Job(gold.cupons_performance, _from(SILVER, "vendas", "cupons")),
 }
 
+# The same marts in a whole run: those over sales share two fine summaries.
+GOLD_JOBS = {
+    gold.BY_PRODUCT: Job(gold.product_summary, _from(SILVER, "vendas")),
+    gold.BY_CUSTOMER: Job(gold.customer_summary, _from(SILVER, "vendas")),
+    **DIRECT_GOLD_JOBS,
+    **{
+        name: Job(gold.SALES_MARTS[name].of_summary, _from(GOLD, source))
+        for name, source in gold.SERVED_BY.items()
+    },
+    "top_clientes": Job(
+        gold.top_clientes_of_summary, _from(GOLD, gold.BY_CUSTOMER) + _from(SILVER, "clientes")
+    ),
+    "clientes_rfm": Job(
+        gold.clientes_rfm_of_summary,
+        _from(GOLD, gold.BY_CUSTOMER) + _from(SILVER, "clientes"),
+        dated=True,
+    ),
+}
+
 AUDIT_MARTS = {
     "duracao_fase_tabela": audit.phase_stats,
     "duracao_camada_total": audit.layer_totals,

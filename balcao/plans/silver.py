@@ -80,9 +80,8 @@ def clientes(raw: DataFrame, raw_sales: DataFrame, on_error: str = "raise") -> D
 
 
 def with_supplier(products: DataFrame, suppliers: DataFrame) -> DataFrame:
-    return left_lookup(
-        products, suppliers.select("fornecedor_id", "razao_social", "segmento"), "fornecedor_id"
-    )
+    about = suppliers.select("fornecedor_id", "razao_social", "segmento")
+    return left_lookup(products, about, "fornecedor_id", row_key="produto_id")
 
 
 def produtos(raw: DataFrame, suppliers: DataFrame, on_error: str = "raise") -> DataFrame:
@@ -150,9 +149,10 @@ def review_chain(reviews: DataFrame, sales: DataFrame, products: DataFrame) -> D
         reviews,
         sales.select("venda_id", "cliente_id", "produto_id", "valor_total", "ano_mes"),
         "venda_id",
+        row_key="avaliacao_id",
     )
     named = products.select("produto_id", F.col("nome").alias("produto_nome"), "categoria")
-    return left_lookup(with_sale, named, "produto_id")
+    return left_lookup(with_sale, named, "produto_id", row_key="avaliacao_id")
 
 
 def avaliacoes(
