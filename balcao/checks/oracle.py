@@ -11,7 +11,7 @@ import re
 from balcao.checks.queries import EARLIER_DAY, SHARED
 from balcao.checks.standins import STANDINS
 from balcao.checks.warehouse import AS_OF
-from balcao.functions.draws import SCALE, cumulated
+from balcao.functions.draws import SCALE, slots
 from balcao.plans import datagen
 from balcao.plans import datagen_values as V
 from balcao.plans.audit import SLA_MINUTES, SLA_RUN_MINUTES
@@ -191,10 +191,7 @@ class Drawn:
         return f"CASE {given} {cases} END"
 
     def weighted(self, name: str, weights: dict) -> str:
-        *firsts, (last, _) = cumulated(weights)
-        unit = self.unit(name)
-        cases = " ".join(f"WHEN {unit}<CAST({b!r} AS DOUBLE) THEN {v!r}" for v, b in firsts)
-        return f"CASE {cases} ELSE {last!r} END"
+        return self.choice(name, slots(weights))
 
     def digits(self, name: str, width: int) -> str:
         return f"lpad(CAST({self.bits(name)}%{10**width} AS VARCHAR),{width},'0')"

@@ -247,7 +247,7 @@ def coupon_interval_join(w: Warehouse) -> DataFrame:
 
 def coupon_smallest(w: Warehouse) -> DataFrame:
     sold = w.raw("vendas").select("venda_id", "data_venda")
-    return lookups.smallest_valid_coupon(sold, w.raw("cupons"), row_key="venda_id")
+    return lookups.smallest_valid_coupon(sold, w.raw("cupons"))
 
 
 def coupon_assigned(w: Warehouse) -> DataFrame:

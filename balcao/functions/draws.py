@@ -7,6 +7,8 @@ does not depend on how rows are split over tasks, or on a task being run again.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
+from math import gcd, lcm
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,24 +76,20 @@ class Draws:
         return self.uniform(name, low, high)
 
     def weighted(self, name: str, weights: Mapping) -> Column:
-        unit = self.unit(name)
-        *firsts, (last, _) = cumulated(weights)
-        chosen = F.lit(last)
-        for value, below in reversed(firsts):
-            chosen = F.when(unit < below, value).otherwise(chosen)
-        return chosen
+        """Choice in proportion to the weights."""
+        return self.choice(name, slots(weights))
 
     def chance(self, name: str, probability: float) -> Column:
         return self.unit(name) < probability
 
 
-def cumulated(weights: Mapping) -> list[tuple]:
-    """Each value with the share of weight up to and including it."""
-    whole, reached, shares = sum(weights.values()), 0, []
-    for value, weight in weights.items():
-        reached += weight
-        shares.append((value, reached / whole))
-    return shares
+def slots(weights: Mapping) -> list:
+    """Each value as often as its weight, in the smallest whole numbers."""
+    exact = {value: Fraction(str(weight)) for value, weight in weights.items()}
+    whole = lcm(*[weight.denominator for weight in exact.values()])
+    counts = {value: int(weight * whole) for value, weight in exact.items()}
+    unit = gcd(*counts.values())
+    return [value for value, count in counts.items() for _ in range(count // unit)]
 
 
 def _by_value(given: Column, values: Mapping[str, float]) -> Column:

@@ -1,9 +1,10 @@
 """Lookups into other tables.
 
-No join here is hinted. Spark broadcasts a side whose measured size is below its
-threshold and otherwise shuffles both; adaptive execution then splits a partition
-that a hot key has made too large. Null keys match nothing, so they are scattered
-over the tasks instead of meeting in one.
+Joins with other tables are not hinted. Spark broadcasts a side whose measured
+size is below its threshold and otherwise shuffles both; adaptive execution then
+splits a partition that a hot key has made too large. Null keys match nothing, so
+they are scattered over the tasks instead of meeting in one. Only tables with one
+row per calendar day are broadcast outright: there are few days, however many rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao.operators.ordered import position, with_prefix
+from balcao.operators.typing import require_key
 
 NULL_SPREAD = 4096
 
@@ -32,7 +34,9 @@ def left_lookup(
         no_match = no_match | F.col(name).isNull()
     spread = F.pmod(F.xxhash64(row_key), F.lit(NULL_SPREAD)) + 1
     salted = df.withColumn("_sal", F.when(no_match, spread).otherwise(F.lit(0).cast("bigint")))
-    known = other.withColumn("_sal", F.lit(0).cast("bigint"))
+    # Always 0, but not a literal: the planner would drop a constant join key and
+    # with it the spreading.
+    known = other.withColumn("_sal", F.pmod(F.xxhash64(*names), F.lit(1).cast("bigint")))
     return salted.join(known, [*names, "_sal"], "left").drop("_sal")
 
 
@@ -44,6 +48,11 @@ def lookup_default(
     return found.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
+def lookup_by_day(df: DataFrame, per_day: DataFrame, day: str) -> DataFrame:
+    """Left join with a table that has one row per calendar day."""
+    return df.join(F.broadcast(per_day), day, "left")
+
+
 def sale_span(sales: DataFrame) -> tuple[Column, Column]:
     """First and last sale day, as subqueries of whatever they are used in."""
     return (
@@ -61,7 +70,7 @@ def coupon_days(coupons: DataFrame, first: Column, last: Column) -> DataFrame:
     start = F.greatest(F.col("validade_inicio"), first)
     end = F.least(F.col("validade_fim"), last)
     # greatest and least skip nulls, yet a validity without an end is not valid.
-    clipped = coupons.dropna(subset=["validade_inicio", "validade_fim"]).select(
+    clipped = require_key(coupons, "validade_inicio", "validade_fim").select(
         "cupom_id", start.alias("_de"), end.alias("_ate")
     )
     days = F.explode(F.sequence("_de", "_ate")).alias("data_venda")
@@ -74,18 +83,18 @@ def valid_pairs_per_day(sales: DataFrame, coupons: DataFrame) -> DataFrame:
     valid = coupon_days(coupons, *sale_span(sales)).groupBy("data_venda").agg(
         F.count(F.lit(1)).alias("cupons"), F.min("cupom_id").alias("menor_cupom")
     )
-    return sold.join(valid, "data_venda").select(
+    return sold.join(F.broadcast(valid), "data_venda").select(
         "data_venda", "vendas", "cupons", "menor_cupom",
         (F.col("vendas") * F.col("cupons")).alias("pares"),
     )
 
 
-def smallest_valid_coupon(sales: DataFrame, coupons: DataFrame, row_key: str) -> DataFrame:
+def smallest_valid_coupon(sales: DataFrame, coupons: DataFrame) -> DataFrame:
     """Each sale with the smallest id among the coupons valid on its day."""
     per_day = coupon_days(coupons, *sale_span(sales)).groupBy("data_venda").agg(
         F.min("cupom_id").alias("cupom_id")
     )
-    return left_lookup(sales, per_day, "data_venda", row_key)
+    return lookup_by_day(sales, per_day, "data_venda")
 
 
 def assign_valid_coupon(
@@ -105,11 +114,11 @@ def assign_valid_coupon(
     """
     days = coupon_days(coupons, *(span or sale_span(sales)))
     numbered = with_prefix(days, ["data_venda"], ["cupom_id"], _vez=position())
-    per_day = numbered.groupBy("data_venda").agg(F.max("_vez").alias("_opcoes"))
+    per_day = days.groupBy("data_venda").agg(F.count(F.lit(1)).alias("_opcoes"))
     drawn = sales.withColumns(
         {"_dia": F.when(eligible, F.col("data_venda")), "_sorteio": pick}
     )
-    counted = left_lookup(drawn, per_day.withColumnRenamed("data_venda", "_dia"), "_dia", row_key)
+    counted = lookup_by_day(drawn, per_day.withColumnRenamed("data_venda", "_dia"), "_dia")
     placed = counted.withColumn("_vez", F.pmod(F.col("_sorteio"), F.col("_opcoes")) + 1)
     chosen = left_lookup(
         placed, numbered.withColumnRenamed("data_venda", "_dia"), ["_dia", "_vez"], row_key

@@ -8,7 +8,7 @@ that holds most of the table is thus spread over as many tasks as any other data
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -90,25 +90,12 @@ def with_prefix(
     """Add one column per ``Prefix``; ``order`` must be unique within a group."""
     blocked = _in_blocks(df, group, order)
     inside = Window.partitionBy(*group, BLOCK).orderBy(*order)
-    earlier = (
-        Window.partitionBy(*group).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ends = blocked.groupBy(*group, BLOCK).agg(
-        *[prefix.summary(order).alias(f"_fim_{name}") for name, prefix in wanted.items()]
-    )
-    # At most one row per block and group border reaches a window over whole groups.
-    carried = ends.select(
-        *[F.col(name).alias(f"_de_{name}") for name in (*group, BLOCK)],
-        *[
-            prefix.carry(F.col(f"_fim_{name}")).over(earlier).alias(f"_de_{name}")
-            for name, prefix in wanted.items()
-        ],
-    )
     here = blocked.withColumns({name: prefix.inside(inside) for name, prefix in wanted.items()})
-    matches = F.lit(True)
+    carried = _carried(blocked, group, order, wanted)
+    same = F.lit(True)
     for name in (*group, BLOCK):
-        matches = matches & F.col(name).eqNullSafe(F.col(f"_de_{name}"))
-    combined = here.join(carried, matches).withColumns(
+        same = same & F.col(name).eqNullSafe(F.col(f"_de_{name}"))
+    combined = here.join(F.broadcast(carried), same, "left").withColumns(
         {
             name: prefix.combine(F.col(f"_de_{name}"), F.col(name))
             for name, prefix in wanted.items()
@@ -117,6 +104,28 @@ def with_prefix(
     return combined.select(*df.columns, *wanted)
 
 
+def _carried(
+    blocked: DataFrame, group: Sequence[str], order: Sequence[str], wanted: Mapping[str, Prefix]
+) -> DataFrame:
+    """What each block takes over from earlier blocks: at most one row per block.
+
+    Rows are ordered by group first, so only the group that a block begins with
+    can have begun before.
+    """
+    ends = blocked.groupBy(*group, BLOCK).agg(
+        *[prefix.summary(order).alias(f"_fim_{name}") for name, prefix in wanted.items()]
+    )
+    blocks_of_group = Window.partitionBy(*group).orderBy(BLOCK)
+    earlier = blocks_of_group.rowsBetween(Window.unboundedPreceding, -1)
+    taken = {
+        f"_de_{name}": prefix.carry(F.col(f"_fim_{name}")).over(earlier)
+        for name, prefix in wanted.items()
+    }
+    placed = ends.withColumns({"_lugar": F.row_number().over(blocks_of_group), **taken})
+    renamed = [F.col(name).alias(f"_de_{name}") for name in (*group, BLOCK)]
+    return placed.filter(F.col("_lugar") > 1).select(*renamed, *taken)
+
+
 def _in_blocks(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Number the partitions of an ordering by group and order, and write them.
 

@@ -31,5 +31,7 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], on_error: str = "raise
 
 
 def require_key(df: DataFrame, *keys: str) -> DataFrame:
-    """Drop rows in which any of the key columns is null."""
-    return df.dropna(subset=list(keys))
+    """Drop rows in which any of the key columns is null, as filters a scan can use."""
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df

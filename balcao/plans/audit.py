@@ -199,22 +199,17 @@ def sla_breaches(
     run_minutes: int | None = SLA_RUN_MINUTES,
 ) -> DataFrame:
     """Layer runs, and whole runs, that took longer than agreed."""
-    spark = audit.sparkSession
     agreed = dict(minutes) | ({} if run_minutes is None else {WHOLE_RUN: run_minutes})
-    limits = rows_to_df(
-        spark,
-        [(name, limit * 60_000) for name, limit in agreed.items()],
-        "escopo string, limite_ms bigint",
-    )
+    limits = [F.lit(part) for name, limit in agreed.items() for part in (name, limit * 60_000)]
+    limit_ms = F.try_element_at(F.create_map(*limits), F.col("escopo")).cast("bigint")
     spent = audit.groupBy("run_id", "camada").agg(F.sum("duracao_ms").alias("duracao_ms"))
     # Each layer total counts once for the layer and once for the whole run.
     scopes = F.explode(F.array(F.col("camada"), F.lit(WHOLE_RUN))).alias("escopo")
     scoped = spent.select("run_id", scopes, "duracao_ms").groupBy("run_id", "escopo").agg(
         F.sum("duracao_ms").alias("duracao_ms")
     )
-    late = F.col("duracao_ms") - F.col("limite_ms")
     return (
-        scoped.join(F.broadcast(limits), "escopo")
-        .withColumn("excesso_ms", late)
+        scoped.withColumn("limite_ms", limit_ms)
+        .withColumn("excesso_ms", F.col("duracao_ms") - F.col("limite_ms"))
         .filter(F.col("excesso_ms") > 0)
     )
