@@ -73,8 +73,10 @@ def coupon_days(coupons: DataFrame, first: Column, last: Column) -> DataFrame:
     clipped = require_key(coupons, "validade_inicio", "validade_fim").select(
         "cupom_id", start.alias("_de"), end.alias("_ate")
     )
-    days = F.explode(F.sequence("_de", "_ate")).alias("data_venda")
-    return clipped.filter(F.col("_de") <= F.col("_ate")).select("cupom_id", days)
+    # Coupons fit in few files but unfold into many days, so spread them first.
+    tasks = int(coupons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = clipped.filter(F.col("_de") <= F.col("_ate")).repartition(tasks, "cupom_id")
+    return spread.select("cupom_id", F.explode(F.sequence("_de", "_ate")).alias("data_venda"))
 
 
 def valid_pairs_per_day(sales: DataFrame, coupons: DataFrame) -> DataFrame:
