@@ -543,6 +543,9 @@ BODIES: dict[str, str] = {
     ),
     "audit_append": "SELECT * FROM pipeline_audit",
     "audit_run_summary": "SELECT * FROM runs_camada",
+    "audit_run_totals": (
+        "SELECT camada, status, count(*) AS qtd_runs FROM runs_camada GROUP BY camada, status"
+    ),
     "audit_volume_by_layer": (
         "SELECT v.*, run_ts FROM volumes v JOIN (SELECT run_id, max(timestamp) AS run_ts "
         "FROM pipeline_audit GROUP BY run_id ORDER BY run_ts DESC, run_id DESC LIMIT 3) t "

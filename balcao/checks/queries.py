@@ -405,6 +405,7 @@ QUERIES: dict[str, Query] = {
     **{f"gold_shared_{name}": _gold(GOLD_JOBS[name]) for name in SHARED},
     "audit_append": audit_append,
     "audit_run_summary": _asked(audit.run_summary),
+    "audit_run_totals": _asked(audit.run_totals),
     "audit_volume_by_layer": _asked(audit.volume_by_layer),
     "audit_volume_level": _asked(audit.volumes),
     "audit_last_status": _asked(audit.last_status),

@@ -55,6 +55,11 @@ def run_summary(audit: DataFrame) -> DataFrame:
     )
 
 
+def run_totals(audit: DataFrame) -> DataFrame:
+    """Number of runs per layer and outcome."""
+    return run_summary(audit).groupBy("camada", "status").agg(F.count(F.lit(1)).alias("qtd_runs"))
+
+
 def volumes(audit: DataFrame) -> DataFrame:
     """Rows written per layer and run, with a level."""
     written = audit.filter(F.col("fase") == WRITE_PHASE)

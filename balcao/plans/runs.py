@@ -1,9 +1,9 @@
 """Whole-layer runs: raw drops to raw tables, to cleaned tables, to marts.
 
-Each table is read from published inputs, published in one execution and timed
+Each table is read from published inputs, written in one execution and timed
 around that execution. A table that fails, or lacks an input, leaves the others
-running; its dependents are skipped. The outcome of every phase goes to the audit
-log, one append per layer.
+running; its dependents are skipped. At its end a layer publishes all it has
+written and appends the outcome of every phase to the audit log.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from balcao.plans import audit, gold, silver
 from balcao.sources import schemas
 from balcao.sources.drops import pick_drop
-from balcao.sources.layers import publish, read_table
+from balcao.sources.layers import latest_versions, log_versions, read_table, write_version
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 AUDIT_LOG = "pipeline_audit"
@@ -107,6 +107,8 @@ class LayerRun:
     def __init__(self, spark: SparkSession, root: str, layer: str, run_id: str):
         self.spark, self.root, self.layer, self.run_id = spark, root, layer, run_id
         self.records: list[tuple] = []
+        self.versions = latest_versions(spark, root)
+        self.written: list = []
         self.status: dict[str, str] = {}
 
     @contextmanager
@@ -133,7 +135,7 @@ class LayerRun:
         )
 
     def table(self, name: str, read: Callable[[], Sequence[DataFrame] | None], build) -> None:
-        """Read, build and publish one table."""
+        """Read, build and write one table."""
         inputs = None
         with self.phase(name, "leitura"):
             inputs = read()
@@ -144,9 +146,18 @@ class LayerRun:
             self.skip(name, "entrada ausente")
             return
         with self.phase(name, audit.WRITE_PHASE) as seen:
-            seen["rows"] = publish(build(*inputs), self.root, self.layer, name)
+            df = build(*inputs)
+            version = write_version(df, self.root, self.layer, name, self.versions)
+            self.versions[self.layer, name] = version
+            self.written.append(version)
+            seen["rows"] = version.linhas
+
+    def published(self, layer: str, name: str) -> DataFrame | None:
+        return read_table(self.spark, self.root, layer, name, known=self.versions)
 
     def close(self) -> dict[str, str]:
+        """Publish what was written, and log how it went, in one append each."""
+        log_versions(self.spark, self.root, self.written)
         audit.audit_append(self.spark, self.records, f"{self.root}/{AUDIT_LOG}")
         return self.status
 
@@ -173,7 +184,7 @@ def _run_jobs(run: LayerRun, jobs: dict[str, Job], as_of: date | str | None) ->
             stale = [n for layer, n in job.inputs if layer == run.layer and run.status.get(n) != audit.OK]
             if stale:
                 return None
-            found = [read_table(run.spark, run.root, layer, n) for layer, n in job.inputs]
+            found = [run.published(layer, n) for layer, n in job.inputs]
             return None if any(df is None for df in found) else found
 
         def build(*inputs, job=job):

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -57,14 +58,48 @@ def table_history(
     return newest_first if n is None else newest_first.limit(n)
 
 
-def _last_versions(spark: SparkSession, root: str, layer: str, names: list[str]) -> dict[str, int]:
+class Version(NamedTuple):
+    """One publish of a table, as logged."""
+
+    camada: str
+    tabela: str
+    versao: int
+    operacao: str
+    linhas: int
+    caminho: str
+    publicado_em: datetime
+
+
+Versions = dict[tuple[str, str], Version]
+
+
+def latest_versions(spark: SparkSession, root: str) -> Versions:
+    """Latest version of every table: one row per table, however long the log is."""
     log = publish_log(spark, root)
     if log is None:
         return {}
-    chosen = log.filter((F.col("camada") == layer) & F.col("tabela").isin(names))
-    # One row per requested name comes back, however long the log is.
-    rows = chosen.groupBy("tabela").agg(F.max("versao").alias("versao")).collect()
-    return {row["tabela"]: row["versao"] for row in rows}
+    fields = F.struct("versao", *[f for f in log.columns if f != "versao"])
+    newest = log.groupBy("camada", "tabela").agg(F.max(fields).alias("ultima"))
+    rows = newest.select("ultima.*").select(*Version._fields).collect()
+    return {(row["camada"], row["tabela"]): Version(*row) for row in rows}
+
+
+def write_version(
+    df: DataFrame, root: str, layer: str, name: str, known: Versions, fmt: str = "parquet"
+) -> Version:
+    """Write the next version of a table. It counts as published once it is logged."""
+    last = known.get((layer, name))
+    number = last.versao + 1 if last else 1
+    path = f"{root}/{layer}/{name}/v{number:08d}"
+    rows = write_counted(df, path, fmt)
+    operation = "OVERWRITE" if last else "CREATE"
+    return Version(layer, name, number, operation, rows, path, datetime.now(timezone.utc))
+
+
+def log_versions(spark: SparkSession, root: str, versions: Iterable[Version]) -> None:
+    rows = [tuple(version) for version in versions]
+    if rows:
+        append(rows_to_df(spark, rows, schemas.PUBLISH_LOG).coalesce(1), f"{root}/{LOG}")
 
 
 def publish_all(
@@ -75,18 +110,10 @@ def publish_all(
     fmt: str = "parquet",
 ) -> dict[str, int]:
     """Overwrite each named table with its frame; returns rows written per table."""
-    last = _last_versions(spark, root, layer, list(frames))
-    entries, counts = [], {}
-    for name, df in frames.items():
-        version = last.get(name, 0) + 1
-        path = f"{root}/{layer}/{name}/v{version:08d}"
-        counts[name] = write_counted(df, path, fmt)
-        stamp = datetime.now(timezone.utc)
-        operation = "CREATE" if version == 1 else "OVERWRITE"
-        entries.append((layer, name, version, operation, counts[name], path, stamp))
-    log_rows = rows_to_df(spark, entries, schemas.PUBLISH_LOG).coalesce(1)
-    append(log_rows, f"{root}/{LOG}")
-    return counts
+    known = latest_versions(spark, root)
+    written = [write_version(df, root, layer, name, known, fmt) for name, df in frames.items()]
+    log_versions(spark, root, written)
+    return {version.tabela: version.linhas for version in written}
 
 
 def publish(df: DataFrame, root: str, layer: str, name: str, fmt: str = "parquet") -> int:
@@ -94,12 +121,17 @@ def publish(df: DataFrame, root: str, layer: str, name: str, fmt: str = "parquet
 
 
 def read_table(
-    spark: SparkSession, root: str, layer: str, name: str, fmt: str = "parquet"
+    spark: SparkSession,
+    root: str,
+    layer: str,
+    name: str,
+    fmt: str = "parquet",
+    known: Versions | None = None,
 ) -> DataFrame | None:
     """Latest published version of a table; None if it was never published."""
-    history = table_history(spark, root, layer, name)
-    newest = None if history is None else history.first()
-    return None if newest is None else spark.read.format(fmt).load(newest["caminho"])
+    versions = latest_versions(spark, root) if known is None else known
+    newest = versions.get((layer, name))
+    return None if newest is None else spark.read.format(fmt).load(newest.caminho)
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -116,6 +148,15 @@ def describe_tables(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [_describe(name, df) for name, df in frames.items()])
 
 
+def sample_rows(frames: Mapping[str, DataFrame], n: int = 5) -> DataFrame:
+    """A few rows of every table, as JSON text."""
+    samples = [
+        df.limit(n).select(F.lit(name).alias("tabela"), F.to_json(F.struct("*")).alias("linha"))
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, samples)
+
+
 def _describe(name: str, df: DataFrame) -> DataFrame:
     filled = df.agg(*[F.count(F.col(f.name)).alias(f.name) for f in df.schema])
     per_column = F.array(

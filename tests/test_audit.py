@@ -57,6 +57,13 @@ def test_run_summary(log):
     assert runs["e", "silver"].status == "sucesso"
 
 
+def test_run_totals(log):
+    totals = by(audit.run_totals(log), "camada", "status")
+    assert {k: r.qtd_runs for k, r in totals.items()} == {
+        ("bronze", "sucesso"): 2, ("bronze", "erro"): 2, ("silver", "sucesso"): 3, ("gold", "erro"): 1,
+    }
+
+
 def test_layer_totals_compare_with_the_run_before(log):
     totals = by(audit.layer_totals(log), "camada", "run_id")
     assert totals["bronze", "a"].variacao_vs_run_anterior_pct is None

@@ -95,6 +95,12 @@ def test_describe_and_count(spark):
     assert sorted(map(tuple, layers.row_counts({"t": df, "u": df.limit(1)}).collect())) == [("t", 2), ("u", 1)]
 
 
+def test_sample_rows(spark):
+    found = layers.sample_rows({"t": spark.range(50), "u": spark.range(1)}, 3).collect()
+    assert [r.tabela for r in found].count("t") == 3
+    assert ("u", '{"id":0}') in [tuple(r) for r in found]
+
+
 def test_scratch_folder_is_the_named_one(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert scratch.shared_folder(spark).startswith(named)
