@@ -74,7 +74,7 @@ def coupon_days(coupons: DataFrame, first: Column, last: Column) -> DataFrame:
         "cupom_id", start.alias("_de"), end.alias("_ate")
     )
     # Coupons fit in few files but unfold into many days, so spread them first.
-    tasks = int(coupons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = coupons.sparkSession.sparkContext.defaultParallelism
     spread = clipped.filter(F.col("_de") <= F.col("_ate")).repartition(tasks, "cupom_id")
     return spread.select("cupom_id", F.explode(F.sequence("_de", "_ate")).alias("data_venda"))
 

@@ -129,9 +129,9 @@ def _carried(
 def _in_blocks(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Number the partitions of an ordering by group and order, and write them.
 
-    Block borders come from a sample, so they are fixed by writing the table once:
-    rows and summaries must see the same ones.
+    Adaptive execution merges neighbouring partitions of a small table, which keeps
+    their order. Block borders come from a sample, so they are fixed by writing the
+    table once: rows and summaries must see the same ones.
     """
-    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(blocks, *group, *order)
+    ranged = df.repartitionByRange(*group, *order)
     return stage(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocos")

@@ -2,6 +2,9 @@
 
 from datetime import date
 
+# Everything below must stay as it is for generated data to keep its
+# domains, weights and wording.
+
 VOLUMES = {
     "fornecedores": 50,
     "clientes": 100_000,

@@ -39,23 +39,40 @@ def expected(rows):
     return out
 
 
+@pytest.fixture
+def small_blocks(spark):
+    """Keep the partitions that a small table would have merged."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_prefixes_in_merged_blocks(spark, rows):
+    df = spark.createDataFrame(rows, "g string, at int, v int").repartition(5)
+    check_prefixes(df, rows)
+
+
 @pytest.mark.parametrize("tasks", [1, 8, 64])
-def test_prefixes(spark, rows, tasks):
+def test_prefixes(spark, rows, tasks, small_blocks):
     df = spark.createDataFrame(rows, "g string, at int, v int").repartition(5)
     kept = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", tasks)
     try:
-        found = with_prefix(
-            df, ["g"], ["at"], antes=previous("v"), topo=running_max("v"), lugar=position()
-        )
-        got = [tuple(r) for r in found.select("g", "at", "v", "antes", "topo", "lugar").collect()]
+        check_prefixes(df, rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def check_prefixes(df, rows):
+    found = with_prefix(
+        df, ["g"], ["at"], antes=previous("v"), topo=running_max("v"), lugar=position()
+    )
+    got = [tuple(r) for r in found.select("g", "at", "v", "antes", "topo", "lugar").collect()]
     assert len(got) == len(rows)
     assert set(got) == expected(rows)
 
 
-def test_hot_group_is_spread(spark, rows):
+def test_hot_group_is_spread(spark, rows, small_blocks):
     """No block of the ordering holds much more than its share of the hot group."""
     from balcao.operators.ordered import BLOCK, _in_blocks
 
@@ -64,12 +81,32 @@ def test_hot_group_is_spread(spark, rows):
     assert max(sizes) < 2 * len(rows) / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def test_without_group(spark):
+def test_without_group(spark, small_blocks):
     df = spark.range(500).select((F.col("id") * 17 % 500).alias("k"))
     found = with_prefix(df, [], ["k"], lugar=position())
     assert all(r.lugar == r.k + 1 for r in found.collect())
 
 
+def test_blocks_follow_the_order_when_merged(spark):
+    """Merging takes neighbours only, so block numbers still rise with the order."""
+    from balcao.operators.ordered import BLOCK, _in_blocks
+
+    spark.conf.set("spark.sql.shuffle.partitions", 50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "10KB")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    try:
+        df = spark.range(50_000).select((F.col("id") * 7919 % 50_000).alias("k"))
+        blocked = _in_blocks(df, [], ["k"])
+        ends = blocked.groupBy(BLOCK).agg(F.min("k").alias("a"), F.max("k").alias("b"))
+        ends = ends.orderBy(BLOCK).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert 1 < len(ends) < 50
+    assert all(before.b < after.a for before, after in zip(ends, ends[1:]))
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "g string, at int, v int")
     assert with_prefix(df, ["g"], ["at"], antes=previous("v")).count() == 0
