@@ -37,8 +37,9 @@ def score_band(score: Column) -> Column:
 
 
 def hour_of_day(clock: Column) -> Column:
-    """Hour of an ``HH:mm:ss`` text; anything unreadable becomes null."""
-    return F.substring_index(clock, ":", 1).try_cast("int")
+    """Hour of an ``HH:mm:ss`` text, or of a timestamp; anything unreadable becomes null."""
+    time = F.substring_index(clock.cast("string"), " ", -1)
+    return F.substring_index(time, ":", 1).try_cast("int")
 
 
 def part_of_day(clock: Column) -> Column:

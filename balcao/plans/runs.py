@@ -163,26 +163,40 @@ class LayerRun:
 
 
 def run_bronze(
-    spark: SparkSession, drops: str, root: str, run_id: str, which: str = "latest"
+    spark: SparkSession,
+    drops: str,
+    root: str,
+    run_id: str,
+    which: str = "latest",
+    on_error: str = "raise",
 ) -> dict[str, str]:
     run = LayerRun(spark, root, BRONZE, run_id)
     for name, schema in schemas.RAW.items():
 
         def read(name=name, schema=schema):
-            found = pick_drop(spark, drops, name, schema, which)
+            found = pick_drop(spark, drops, name, schema, which, on_error)
             return None if found is None else [found]
 
         run.table(name, read, lambda df: df)
     return run.close()
 
 
-def _run_jobs(run: LayerRun, jobs: dict[str, Job], as_of: date | str | None) -> None:
+Stale = frozenset[tuple[str, str]]
+
+
+def stale_tables(layer: str, status: dict[str, str]) -> Stale:
+    """Tables that a layer's run did not renew, as (layer, name)."""
+    return frozenset((layer, name) for name, outcome in status.items() if outcome != audit.OK)
+
+
+def _run_jobs(
+    run: LayerRun, jobs: dict[str, Job], as_of: date | str | None, stale: Stale
+) -> None:
     for name, job in jobs.items():
 
         def read(job=job):
-            # An input of this layer must stem from this run, not from an older one.
-            stale = [n for layer, n in job.inputs if layer == run.layer and run.status.get(n) != audit.OK]
-            if stale:
+            # Inputs must stem from this run: an older version would mix two days.
+            if (stale | stale_tables(run.layer, run.status)) & set(job.inputs):
                 return None
             found = [run.published(layer, n) for layer, n in job.inputs]
             return None if any(df is None for df in found) else found
@@ -194,10 +208,15 @@ def _run_jobs(run: LayerRun, jobs: dict[str, Job], as_of: date | str | None) ->
 
 
 def run_silver(
-    spark: SparkSession, root: str, run_id: str, as_of: date | str | None = None
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    as_of: date | str | None = None,
+    stale: Stale = frozenset(),
 ) -> dict[str, str]:
+    """Cleaned tables. Tables that need a ``stale`` input are skipped."""
     run = LayerRun(spark, root, SILVER, run_id)
-    _run_jobs(run, SILVER_JOBS, as_of)
+    _run_jobs(run, SILVER_JOBS, as_of, stale)
     return run.close()
 
 
@@ -211,11 +230,15 @@ def read_audit(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def run_gold(
-    spark: SparkSession, root: str, run_id: str, as_of: date | str | None = None
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    as_of: date | str | None = None,
+    stale: Stale = frozenset(),
 ) -> dict[str, str]:
     """Business marts, then the marts over the audit log of the runs so far."""
     run = LayerRun(spark, root, GOLD, run_id)
-    _run_jobs(run, GOLD_JOBS, as_of)
+    _run_jobs(run, GOLD_JOBS, as_of, stale)
     for name, question in AUDIT_MARTS.items():
 
         def read():
@@ -233,11 +256,11 @@ def run_all(
     as_of: date | str | None = None,
     which: str = "latest",
     run_id: str | None = None,
+    on_error: str = "raise",
 ) -> dict[str, dict[str, str]]:
     """All three layers under one run id; returns the status of every table."""
     name = run_id or new_run_id()
-    return {
-        BRONZE: run_bronze(spark, drops, root, name, which),
-        SILVER: run_silver(spark, root, name, as_of),
-        GOLD: run_gold(spark, root, name, as_of),
-    }
+    raw = run_bronze(spark, drops, root, name, which, on_error)
+    clean = run_silver(spark, root, name, as_of, stale_tables(BRONZE, raw))
+    marts = run_gold(spark, root, name, as_of, stale_tables(SILVER, clean))
+    return {BRONZE: raw, SILVER: clean, GOLD: marts}

@@ -9,13 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAMP = r"(\d{8}T\d{6})"
+REJECTED = "registro_invalido"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema Spark infers one, at the cost of a pass."""
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | None = None,
+    on_error: str = "raise",
+) -> DataFrame:
+    """CSV with a header. Without a schema Spark infers one, at the cost of a pass.
+
+    Values that do not fit the schema fail the read (``raise``), become null
+    (``null``), or become null with the whole line kept in ``registro_invalido``
+    (``quarantine``).
+    """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if on_error == "raise":
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    if on_error == "null":
+        return reader.schema(schema).csv(path)
+    if on_error == "quarantine":
+        kept = reader.option("columnNameOfCorruptRecord", REJECTED)
+        return kept.schema(f"{schema}, {REJECTED} string").csv(path)
+    raise ValueError(f"unknown treatment of bad values: {on_error}")
 
 
 def drop_files(spark: SparkSession, folder: str, table: str = "*") -> DataFrame | None:
@@ -47,6 +66,7 @@ def pick_drop(
     table: str,
     schema: str | None = None,
     which: str = "latest",
+    on_error: str = "raise",
 ) -> DataFrame | None:
     """Rows of the latest, first or all drops of a table; None if there is no drop."""
     if which not in ("latest", "first", "all"):
@@ -58,8 +78,8 @@ def pick_drop(
     if ends["first"] is None:
         return None
     if which == "all":
-        return read_csv(spark, f"{folder}/{table}_[0-9]*T[0-9]*.csv*", schema)
-    return read_csv(spark, f"{folder}/{table}_{ends[which]}.csv*", schema)
+        return read_csv(spark, f"{folder}/{table}_[0-9]*T[0-9]*.csv*", schema, on_error)
+    return read_csv(spark, f"{folder}/{table}_{ends[which]}.csv*", schema, on_error)
 
 
 def export_csv(df: DataFrame, folder: str, table: str, stamp: datetime | str) -> str:

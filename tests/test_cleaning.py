@@ -32,6 +32,11 @@ def test_part_of_day_edges(spark):
     assert values(df) == ["manhã", "tarde", "tarde", "noite", "manhã", "noite", "noite"]
 
 
+def test_part_of_day_of_a_timestamp(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 13:00:00' AS v")
+    assert values(df.select(cleaning.part_of_day(F.col("v")).alias("out"))) == ["tarde"]
+
+
 def test_digits_only(spark):
     df = one_column(spark, "string", ["12.345.678/0001-90", "", None])
     df = df.select(cleaning.digits_only(F.col("v")).alias("out"))

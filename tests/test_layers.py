@@ -72,6 +72,19 @@ def test_single_file_drops(spark, folder):
     assert inferred.dtypes == [("id", "int"), ("nome", "string")]
 
 
+def test_values_that_do_not_fit(spark, folder):
+    with open(f"{folder}/t_20240101T000000.csv", "w", encoding="utf-8") as f:
+        f.write("id,dia\n1,2024-01-31\nx,2024-01-31\n3,\n")
+    pick = lambda how: drops.pick_drop(spark, folder, "t", "id bigint, dia date", on_error=how)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        pick("raise").collect()
+    assert sorted(str(r.id) for r in pick("null").collect()) == ["1", "3", "None"]
+    rejected = pick("quarantine").cache().filter("registro_invalido is not null").collect()
+    assert [r.registro_invalido for r in rejected] == ["x,2024-01-31"]
+    with pytest.raises(ValueError):
+        pick("skip")
+
+
 def test_listing_reads_no_content(spark, dropped):
     plan = drops.drop_files(spark, dropped, "vendas")._jdf.queryExecution().executedPlan().toString()
     assert "path" in plan and "content" not in plan

@@ -57,21 +57,28 @@ def test_second_run_compares_with_the_first(spark, drops_folder, warehouse):
     assert layers.table_history(spark, root, "gold", "receita_mensal").first().versao == 2
 
 
-def test_missing_and_broken_inputs(spark, drops_folder):
-    folder, root = (tempfile.mkdtemp(prefix="balcao-tests-") for _ in range(2))
+def test_missing_and_broken_inputs(spark, drops_folder, warehouse):
+    """Over a warehouse that has older versions of all tables."""
+    root, _ = warehouse
+    folder = tempfile.mkdtemp(prefix="balcao-tests-")
     for name in ("clientes", "produtos", "vendas", "fretes", "pagamentos", "cupons"):
         shutil.copytree(f"{drops_folder}/{name}_{FIRST}.csv", f"{folder}/{name}_{FIRST}.csv")
-    # a newer drop of sales with an amount that is no number
+    # a newer drop of sales with a quantity that is no number
     with open(f"{folder}/vendas_{SECOND}.csv", "w", encoding="utf-8") as f:
         f.write("venda_id,cliente_id,produto_id,quantidade,desconto_pct,cupom_id,status,canal,data_venda,hora_venda\n")
         f.write("1,1,1,muitas,0,,CONCLUIDO,app,2024-01-01,10:00:00\n")
-    status = runs.run_all(spark, folder, root, as_of="2024-06-30")
-    assert status["bronze"]["fornecedores"] == status["bronze"]["avaliacoes"] == "ignorado"
-    assert status["silver"]["fornecedores"] == status["silver"]["produtos"] == "ignorado"
-    assert status["silver"]["vendas"] == status["silver"]["avaliacoes"] == "ignorado"
-    assert status["silver"]["cupons"] == status["silver"]["clientes"] == "sucesso"
-    assert status["gold"]["receita_mensal"] == status["gold"]["_resumo_cliente"] == "ignorado"
-    assert status["gold"]["duracao_fase_tabela"] == "sucesso"
+    status = runs.run_all(spark, folder, root, as_of="2024-06-30", run_id="r3")
+    raw, clean, marts = (status[layer] for layer in ("bronze", "silver", "gold"))
+    assert raw["fornecedores"] == raw["avaliacoes"] == "ignorado"
+    assert raw["vendas"] == "erro"
+    assert {n for n, s in clean.items() if s == "sucesso"} == {"cupons", "fretes", "pagamentos"}
+    assert {s for n, s in clean.items() if n not in ("cupons", "fretes", "pagamentos")} == {"ignorado"}
+    assert marts["receita_mensal"] == marts["_resumo_cliente"] == "ignorado"
+    assert marts["duracao_fase_tabela"] == "sucesso"
+    before = layers.table_history(spark, root, "silver", "vendas").first()
+    assert before.versao == 2 and layers.table_history(spark, root, "silver", "cupons").first().versao == 3
+    # the same drop taken leniently
+    assert runs.run_bronze(spark, folder, root, "r4", on_error="null")["vendas"] == "sucesso"
 
 
 def test_failure_is_recorded_and_the_rest_goes_on(spark):
