@@ -61,3 +61,16 @@ def test_draws_are_spread(spark, portable):
 def test_slots():
     assert slots({"a": 85, "b": 15}) == ["a"] * 17 + ["b"] * 3
     assert slots({1: 1.5, 2: 0.5}) == [1, 1, 1, 2]
+
+
+@pytest.mark.parametrize("fraction", [0.1, 0.35, 0.5, 0.65, 0.9])
+def test_sample_cuts_through_copies_of_one_key(spark, fraction):
+    rows = spark.range(3_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    found = sample_exact(rows, "k", fraction, 3)
+    assert found.count() == int(3_000 * fraction)
+    assert found.select("v").distinct().count() == int(3_000 * fraction)
+    draw = Draws("k", 3).bits("amostra")
+    highest = found.agg(F.max(draw)).first()[0]
+    assert rows.filter(draw < highest).count() <= int(3_000 * fraction)
