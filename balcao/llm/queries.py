@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.llm import decontaminate, jaccard, language, mixing, quality, toxicity
+from balcao.llm import (
+    decontaminate,
+    extract,
+    jaccard,
+    language,
+    licenses,
+    likelihood,
+    mixing,
+    neighbours,
+    quality,
+    toxicity,
+)
 from balcao.llm.tables import fold, given
 
 
@@ -19,11 +30,28 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return likelihood.scored(given(spark, folder, "documents"), fold("doc_id", 7) == 2)
+
+
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned_licenses(given(spark, folder, "documents"))
+
+
 def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     documents = given(spark, folder, "documents")
     return jaccard.linked(documents, k=4, least=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = given(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op6_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.pages_text(given(spark, folder, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
 
@@ -55,5 +83,16 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_language, op4_jaccard, op7_decontaminate, op8_quality, op9_toxicity, op10_mix)
+    for query in (
+        op1_language,
+        op2_likelihood,
+        op3_licenses,
+        op4_jaccard,
+        op5_neighbours,
+        op6_extract,
+        op7_decontaminate,
+        op8_quality,
+        op9_toxicity,
+        op10_mix,
+    )
 }
