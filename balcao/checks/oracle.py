@@ -115,7 +115,8 @@ CTES |= {
     "runs_camada": (
         "SELECT run_id, camada, min(timestamp) AS inicio, max(timestamp) AS run_ts, "
         f"{big('sum(duracao_ms)')} AS duracao_total_ms, count(*) AS qtd_fases, "
-        "CASE WHEN bool_or(status='erro') THEN 'erro' ELSE 'sucesso' END AS status "
+        "CASE WHEN bool_or(status='erro') THEN 'erro' WHEN bool_or(status='ignorado') THEN 'ignorado' "
+        "ELSE 'sucesso' END AS status "
         "FROM pipeline_audit GROUP BY run_id, camada"
     ),
     "volumes": (
@@ -124,8 +125,9 @@ CTES |= {
         "ELSE 'green' END AS nivel FROM pipeline_audit WHERE fase='escrita' GROUP BY camada, run_id"
     ),
     "ultimas": (
-        "SELECT camada, run_id, CAST(status='erro' AS INT) AS codigo, "
-        "CASE WHEN status='erro' THEN 'Erro' ELSE 'Sucesso' END AS rotulo FROM runs_camada "
+        "SELECT camada, run_id, CASE status WHEN 'erro' THEN 1 WHEN 'ignorado' THEN 2 ELSE 0 END AS codigo, "
+        "CASE status WHEN 'erro' THEN 'Erro' WHEN 'ignorado' THEN 'Ignorado' ELSE 'Sucesso' END AS rotulo "
+        "FROM runs_camada "
         "QUALIFY row_number() OVER (PARTITION BY camada ORDER BY run_ts DESC, run_id DESC)=1"
     ),
     "totais_camada": (
@@ -202,7 +204,7 @@ def day(offset: str) -> str:
 
 
 def numbered(prefix: str, width: int) -> str:
-    return f"'{prefix} '||lpad(CAST(id AS VARCHAR),{width},'0')"
+    return f"'{prefix} '||repeat('0',CAST({width}-length(CAST(id AS VARCHAR)) AS INT))||CAST(id AS VARCHAR)"
 
 
 def company_id(d: Drawn) -> str:
@@ -541,7 +543,28 @@ BODIES: dict[str, str] = {
         f"{total('valor_total')} AS receita_com_cupom, {TICKET} FROM s_vendas "
         "WHERE cupom_id IS NOT NULL GROUP BY cupom_id) t JOIN s_cupons USING (cupom_id)"
     ),
+    "pick_drop_strict": (
+        "SELECT *, 'latest' AS escolha FROM vendas "
+        "UNION ALL SELECT *, 'first' FROM vendas WHERE status<>'PENDENTE' "
+        "UNION ALL SELECT *, 'all' FROM vendas "
+        "UNION ALL SELECT *, 'all' FROM vendas WHERE status<>'PENDENTE'"
+    ),
+    "drop_missing": (
+        "SELECT 'bronze' AS camada, 'vendas' AS tabela, 'leitura' AS fase, 0::BIGINT AS row_count, "
+        "'sucesso' AS status UNION ALL SELECT 'bronze', 'vendas', 'escrita', count(*), 'sucesso' FROM vendas "
+        "UNION ALL SELECT 'bronze', t, 'leitura', 0, 'ignorado' FROM (VALUES ('fornecedores'), ('clientes'), "
+        "('produtos'), ('cupons'), ('fretes'), ('pagamentos'), ('avaliacoes')) x(t)"
+    ),
+    "drop_report": (
+        "SELECT 'vendas' AS tabela, t AS carimbo, true AS tem_arquivos, true AS tem_bytes "
+        "FROM (VALUES ('20240101T000000'), ('20240102T120000')) x(t)"
+    ),
     "audit_append": "SELECT * FROM pipeline_audit",
+    "audit_append_rows": (
+        f"SELECT run_id, camada, tabela, fase, min(timestamp) AS timestamp, {big('sum(duracao_ms)')} AS duracao_ms, "
+        f"{big('sum(row_count)')} AS row_count, min(status) AS status, max(erro_mensagem) AS erro_mensagem "
+        "FROM pipeline_audit WHERE run_id='r01' GROUP BY run_id, camada, tabela, fase"
+    ),
     "audit_run_summary": "SELECT * FROM runs_camada",
     "audit_run_totals": (
         "SELECT camada, status, count(*) AS qtd_runs FROM runs_camada GROUP BY camada, status"
@@ -554,8 +577,8 @@ BODIES: dict[str, str] = {
     "audit_volume_level": "SELECT * FROM volumes",
     "audit_last_status": "SELECT * FROM ultimas",
     "audit_failed_layers": (
-        f"SELECT {big('sum(codigo)')} AS falhas, CASE WHEN sum(codigo)>=5 THEN 'red' "
-        "WHEN sum(codigo)>=2 THEN 'yellow' ELSE 'green' END AS nivel FROM ultimas"
+        "SELECT count_if(codigo=1)::BIGINT AS falhas, CASE WHEN count_if(codigo=1)>=5 THEN 'red' "
+        "WHEN count_if(codigo=1)>=2 THEN 'yellow' ELSE 'green' END AS nivel FROM ultimas"
     ),
     "audit_layer_series": (
         "SELECT camada, status, run_id, inicio, duracao_total_ms/1000::DOUBLE AS duracao_s "

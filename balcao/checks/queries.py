@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from balcao.operators import lookups
 from balcao.operators.ordered import latest_n, latest_per_group
 from balcao.operators.sampling import sample_exact
 from balcao.operators.typing import REJECTED, cast_columns, require_key
-from balcao.plans import audit, datagen, gold, silver
+from balcao.plans import audit, datagen, gold, runs, silver
 from balcao.plans.runs import DIRECT_GOLD_JOBS, GOLD_JOBS, SILVER_JOBS, Job
 from balcao.sources import drops, layers, schemas
 from balcao.sources.scratch import fresh_path, stage
@@ -52,8 +53,37 @@ def pick_drop(which: str) -> Query:
     )
 
 
+def pick_drop_strict(w: Warehouse) -> DataFrame:
+    """Every choice of drop in a folder that also holds backups, a stray name and a compressed drop."""
+    folder = fresh_path(w.spark, "drops")
+    sales = w.raw("vendas")
+    drops.export_csv(sales.filter(F.col("status") != "PENDENTE"), folder, "vendas", OLD_STAMP)
+    others = (f"vendas_{NEW_STAMP}.csv.bak", f"vendas_{OLD_STAMP}.csv.gz.tmp", "vendas_1_oldT5.csv")
+    for name in others:
+        sales.write.option("header", True).csv(f"{folder}/{name}")
+    packed = sales.write.option("header", True).option("compression", "gzip")
+    packed.csv(f"{folder}/vendas_{NEW_STAMP}.csv.gz")
+    picked = [
+        drops.pick_drop(w.spark, folder, "vendas", schemas.RAW["vendas"], which).withColumn("escolha", F.lit(which))
+        for which in ("latest", "first", "all")
+    ]
+    return reduce(DataFrame.unionByName, picked)
+
+
+def drop_missing(w: Warehouse) -> DataFrame:
+    """What a raw layer logs when only the sales have a drop."""
+    folder, root = fresh_path(w.spark, "drops"), fresh_path(w.spark, "faltas")
+    drops.export_csv(w.raw("vendas"), folder, "vendas", NEW_STAMP)
+    runs.run_bronze(w.spark, folder, root, "r1")
+    return runs.read_audit(w.spark, root).select("camada", "tabela", "fase", "row_count", "status")
+
+
 def drop_report(w: Warehouse) -> DataFrame:
-    return drops.drop_report(w.spark, _two_drops(w))
+    """The report, with sizes that depend on the writer reduced to whether there are any."""
+    report = drops.drop_report(w.spark, _two_drops(w))
+    return report.select(
+        "tabela", "carimbo", (F.col("arquivos") >= 1).alias("tem_arquivos"), (F.col("bytes") > 0).alias("tem_bytes")
+    )
 
 
 def publish_roundtrip(w: Warehouse) -> DataFrame:
@@ -95,6 +125,25 @@ def audit_append(w: Warehouse) -> DataFrame:
     return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def audit_append_rows(w: Warehouse) -> DataFrame:
+    """One run's records, a row per layer, table and phase, appended layer by layer as a run does."""
+    path = fresh_path(w.spark, "auditoria")
+    log = w.raw("pipeline_audit").filter(F.col("run_id") == "r01")
+    records = log.groupBy("run_id", "camada", "tabela", "fase").agg(
+        F.min("timestamp").cast("timestamp").alias("timestamp"),
+        F.sum("duracao_ms").alias("duracao_ms"),
+        F.sum("row_count").alias("row_count"),
+        F.min("status").alias("status"),
+        F.max("erro_mensagem").alias("erro_mensagem"),
+    )
+    names = [part.split()[0] for part in schemas.AUDIT.split(", ")]
+    rows = [tuple(row[name] for name in names) for row in records.collect()]  # tables times phases
+    for layer in (runs.BRONZE, runs.SILVER, runs.GOLD):
+        audit.audit_append(w.spark, [row for row in rows if row[names.index("camada")] == layer], path)
+    back = w.spark.read.schema(schemas.AUDIT).parquet(path)
+    return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 # --- cleaning and filters ----------------------------------------------------------
 
 
@@ -372,6 +421,8 @@ QUERIES: dict[str, Query] = {
     "pick_latest_drop": pick_drop("latest"),
     "pick_first_drop": pick_drop("first"),
     "pick_all_drops": pick_drop("all"),
+    "pick_drop_strict": pick_drop_strict,
+    "drop_missing": drop_missing,
     "drop_report": drop_report,
     "publish_roundtrip": publish_roundtrip,
     "publish_history": publish_history,
@@ -404,6 +455,7 @@ QUERIES: dict[str, Query] = {
     **{f"gold_{name}": _gold(job) for name, job in DIRECT_GOLD_JOBS.items()},
     **{f"gold_shared_{name}": _gold(GOLD_JOBS[name]) for name in SHARED},
     "audit_append": audit_append,
+    "audit_append_rows": audit_append_rows,
     "audit_run_summary": _asked(audit.run_summary),
     "audit_run_totals": _asked(audit.run_totals),
     "audit_volume_by_layer": _asked(audit.volume_by_layer),

@@ -19,17 +19,29 @@ class StandIn(NamedTuple):
         return f"SELECT {chosen} FROM {self.source}"
 
 
+
+
+def padded(number: str, width: int) -> str:
+    """A number as text with leading zeros, in full where it is longer than ``width``."""
+    text = f"CAST({number} AS STRING)"
+    return f"lpad({text},CAST(greatest({width},length({text})) AS INT),'0')"
+
+
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 STANDINS = {
+    # Every line item, numbered where order and line repeat: rows that tie are equal, so
+    # any numbering of them gives the same table. Line and copy stay below the factors.
     "v_linha": StandIn(
-        "lineitem GROUP BY l_orderkey, l_linenumber",
+        "(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, "
+        "l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, "
+        "l_shipdate) AS copia FROM lineitem) l",
         {
-            "venda_id": "l_orderkey*10+l_linenumber",
+            "venda_id": "(l_orderkey*1009+l_linenumber)*1013+copia",
             "l_orderkey": "l_orderkey",
-            "produto_id": "min(l_partkey)",
-            "quantidade": "CAST(min(l_quantity) AS INT)",
-            "desconto_pct": "CAST(round(min(l_discount)*100) AS INT)",
+            "produto_id": "l_partkey",
+            "quantidade": "CAST(l_quantity AS INT)",
+            "desconto_pct": "CAST(round(l_discount*100) AS INT)",
         },
     ),
     "fornecedores": StandIn(
@@ -44,7 +56,7 @@ STANDINS = {
             ),
             "regiao": "r_name",
             "cidade": "n_name",
-            "contato": "'+55 11 '||lpad(CAST(s_suppkey AS STRING),8,'0')",
+            "contato": "'+55 11 '||" + padded("s_suppkey", 8),
             "segmento": (
                 "CASE s_suppkey%4 WHEN 0 THEN 'Eletrônicos' WHEN 1 THEN 'Alimentos' "
                 "WHEN 2 THEN 'Livros' ELSE 'Diversos' END"
@@ -88,7 +100,7 @@ STANDINS = {
         "part",
         {
             "cupom_id": "p_partkey+1",
-            "codigo": "'CUP'||lpad(CAST(p_partkey AS STRING),4,'0')",
+            "codigo": "'CUP'||" + padded("p_partkey", 4),
             "tipo": "CASE WHEN p_partkey%2=0 THEN 'fixo' ELSE 'percentual' END",
             "valor": "CAST(5+p_size AS DOUBLE)",
             "validade_inicio": "CAST(DATE '1995-01-01'+CAST((p_partkey*13)%2000 AS INT) AS DATE)",
@@ -194,8 +206,12 @@ STANDINS = {
             "row_count": (
                 "CASE WHEN event_type='purchase' THEN (event_id*7919)%100000 ELSE 0 END"
             ),
-            "status": "CASE WHEN event_id%23=0 THEN 'erro' ELSE 'sucesso' END",
-            "erro_mensagem": "CASE WHEN event_id%23=0 THEN 'falha '||event_type END",
+            # Every third day fails now and then, every third skips, and the rest succeed.
+            "status": (
+                "CASE WHEN event_id%23=0 AND day(ts)%3=0 THEN 'erro' "
+                "WHEN event_id%29=0 AND day(ts)%3=2 THEN 'ignorado' ELSE 'sucesso' END"
+            ),
+            "erro_mensagem": "CASE WHEN event_id%23=0 AND day(ts)%3=0 THEN 'falha '||event_type END",
         },
     ),
 }

@@ -7,6 +7,7 @@ their filters and column choices reach the file scan.
 
 from __future__ import annotations
 
+import re
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,11 +77,7 @@ class Warehouse:
 
 
 def _rename_table(text: str, table: str, replacement: str) -> str:
-    for word in ("FROM", "JOIN"):
-        text = text.replace(f"{word} {table} ", f"{word} {replacement} ")
-        if text.endswith(f"{word} {table}"):
-            text = text[: -len(table)] + replacement
-    return text
+    return re.sub(rf"\b(FROM|JOIN) {table}\b", lambda found: f"{found[1]} {replacement}", text)
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:

@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from balcao.operators.ordered import position, with_prefix
 from balcao.operators.typing import require_key
 
-NULL_SPREAD = 4096
-
 
 def left_lookup(
     df: DataFrame, other: DataFrame, keys: str | Sequence[str], row_key: str
@@ -26,13 +24,13 @@ def left_lookup(
     """Left join on same-named columns that tolerates many null keys in ``df``.
 
     ``row_key`` is a column of ``df`` with many values; rows without a key are
-    spread by it.
+    spread by its hash, over as many tasks as there are.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     no_match = F.lit(False)
     for name in names:
         no_match = no_match | F.col(name).isNull()
-    spread = F.pmod(F.xxhash64(row_key), F.lit(NULL_SPREAD)) + 1
+    spread = F.xxhash64(row_key).bitwiseOR(F.lit(1).cast("bigint"))  # never 0
     salted = df.withColumn("_sal", F.when(no_match, spread).otherwise(F.lit(0).cast("bigint")))
     # Always 0, but not a literal: the planner would drop a constant join key and
     # with it the spreading.

@@ -28,7 +28,8 @@ OK = "sucesso"
 FAILED = "erro"
 SKIPPED = "ignorado"
 WRITE_PHASE = "escrita"
-STATUS_LABELS = {0: "Sucesso", 1: "Erro"}
+STATUS_CODES = {OK: 0, FAILED: 1, SKIPPED: 2}
+STATUS_LABELS = {0: "Sucesso", 1: "Erro", 2: "Ignorado"}
 VOLUME_LEVELS = [(500_000, "yellow"), (2_000_000, "red")]
 FAILURE_LEVELS = [(2, "yellow"), (5, "red")]
 LOWEST_LEVEL = "green"
@@ -45,13 +46,19 @@ def audit_append(spark: SparkSession, records: Iterable[tuple], path: str) -> No
 
 
 def run_summary(audit: DataFrame) -> DataFrame:
-    """Per run and layer: start, end of log, total duration, and whether a phase failed."""
+    """Per run and layer: start, end of log, total duration and outcome.
+
+    A failed phase makes the run a failure, else a skipped one makes it skipped.
+    """
     return audit.groupBy("run_id", "camada").agg(
         F.min("timestamp").alias("inicio"),
         F.max("timestamp").alias("run_ts"),
         F.sum("duracao_ms").alias("duracao_total_ms"),
         F.count(F.lit(1)).alias("qtd_fases"),
-        F.when(F.bool_or(F.col("status") == FAILED), FAILED).otherwise(OK).alias("status"),
+        F.when(F.bool_or(F.col("status") == FAILED), FAILED)
+        .when(F.bool_or(F.col("status") == SKIPPED), SKIPPED)
+        .otherwise(OK)
+        .alias("status"),
     )
 
 
@@ -90,18 +97,23 @@ def volume_level(rows: Column) -> Column:
 def last_status(audit: DataFrame) -> DataFrame:
     """Outcome of the last run of each layer, as a code and a label."""
     last = latest_per_group(run_summary(audit), ["camada"], [F.desc("run_ts"), F.desc("run_id")])
-    failed = F.col("status") == FAILED
-    return last.select(
-        "camada",
-        "run_id",
-        failed.cast("int").alias("codigo"),
-        F.when(failed, STATUS_LABELS[1]).otherwise(STATUS_LABELS[0]).alias("rotulo"),
-    )
+    return last.select("camada", "run_id", _by_status(STATUS_CODES).alias("codigo"), _by_status(
+        {status: STATUS_LABELS[code] for status, code in STATUS_CODES.items()}
+    ).alias("rotulo"))
+
+
+def _by_status(values: Mapping[str, object]) -> Column:
+    """The value of each row's status; every summary has one of the three."""
+    chosen = F.lit(values[OK])
+    for status in (SKIPPED, FAILED):
+        chosen = F.when(F.col("status") == status, values[status]).otherwise(chosen)
+    return chosen
 
 
 def failed_layers(audit: DataFrame) -> DataFrame:
     """Number of layers whose last run failed, with a level."""
-    failures = last_status(audit).agg(F.sum("codigo").alias("falhas"))
+    failed = F.col("codigo") == STATUS_CODES[FAILED]
+    failures = last_status(audit).agg(F.count_if(failed).alias("falhas"))
     return failures.withColumn("nivel", bucketize(F.col("falhas"), FAILURE_LEVELS, LOWEST_LEVEL))
 
 

@@ -41,7 +41,9 @@ def _day(offset: Column) -> Column:
 
 
 def _numbered(prefix: str, width: int) -> Column:
-    return F.concat(F.lit(prefix + " "), F.lpad(F.col(ID).cast("string"), width, "0"))
+    number = F.col(ID).cast("string")
+    full = F.greatest(F.lit(width), F.length(number))
+    return F.concat(F.lit(prefix + " "), F.lpad(number, full, F.lit("0")))
 
 
 def _digits(draws: Draws, name: str, width: int) -> Column:

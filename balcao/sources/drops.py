@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAMP = r"(\d{8}T\d{6})"
+#: What may follow the stamp: a file, compressed or not, or a folder of such parts.
+ENDING = r"(\.csv(?:\.(?:gz|bz2|deflate|lz4|snappy|zst))?)(?:$|/part-[^/]+$)"
 REJECTED = "registro_invalido"
 
 
@@ -38,8 +40,9 @@ def read_csv(
 
 
 def drop_files(spark: SparkSession, folder: str, table: str = "*") -> DataFrame | None:
-    """One row per file of the table's drops: table, stamp, path, length.
+    """One row per file of the table's drops: table, stamp, file, length, and the drop's path.
 
+    Backups, partial uploads and other names that merely begin like a drop are left out.
     Only file listings are read; the ``content`` column is pruned from the scan.
     Returns None where no file matches.
     """
@@ -50,12 +53,13 @@ def drop_files(spark: SparkSession, folder: str, table: str = "*") -> DataFrame
             return None
         raise
     name = "([^/]+)" if table == "*" else f"({table})"
-    pattern = rf"/{name}_{STAMP}\.csv(?:$|[./])"
+    pattern = rf"/{name}_{STAMP}{ENDING}"
     found = files.select(
         F.regexp_extract("path", pattern, 1).alias("tabela"),
         F.regexp_extract("path", pattern, 2).alias("carimbo"),
         F.col("path").alias("caminho"),
         F.col("length").alias("bytes"),
+        F.regexp_extract("path", rf"^(.*/{name}_{STAMP}{ENDING[: ENDING.rindex("(?:$")]})", 1).alias("drop"),
     )
     return found.filter(F.col("carimbo") != "")
 
@@ -77,9 +81,9 @@ def pick_drop(
     ends = files.agg(F.min("carimbo").alias("first"), F.max("carimbo").alias("latest")).first()
     if ends["first"] is None:
         return None
-    if which == "all":
-        return read_csv(spark, f"{folder}/{table}_[0-9]*T[0-9]*.csv*", schema, on_error)
-    return read_csv(spark, f"{folder}/{table}_{ends[which]}.csv*", schema, on_error)
+    wanted = files if which == "all" else files.filter(F.col("carimbo") == ends[which])
+    paths = [row["drop"] for row in wanted.select("drop").distinct().orderBy("drop").collect()]
+    return read_csv(spark, paths, schema, on_error)
 
 
 def export_csv(df: DataFrame, folder: str, table: str, stamp: datetime | str) -> str:
