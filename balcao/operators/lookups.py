@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from balcao.operators.ordered import position, with_prefix
 from balcao.operators.typing import require_key
+from balcao.sources.scratch import stage
 
 
 def left_lookup(
@@ -52,11 +53,9 @@ def lookup_by_day(df: DataFrame, per_day: DataFrame, day: str) -> DataFrame:
 
 
 def sale_span(sales: DataFrame) -> tuple[Column, Column]:
-    """First and last sale day, as subqueries of whatever they are used in."""
-    return (
-        sales.agg(F.min("data_venda")).scalar(),
-        sales.agg(F.max("data_venda")).scalar(),
-    )
+    """First and last sale day, found by one scan."""
+    first, last = sales.agg(F.min("data_venda"), F.max("data_venda")).first()
+    return F.lit(first).cast("date"), F.lit(last).cast("date")
 
 
 def coupon_days(coupons: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -71,9 +70,9 @@ def coupon_days(coupons: DataFrame, first: Column, last: Column) -> DataFrame:
     clipped = require_key(coupons, "validade_inicio", "validade_fim").select(
         "cupom_id", start.alias("_de"), end.alias("_ate")
     )
-    # Coupons fit in few files but unfold into many days, so spread them first.
-    tasks = coupons.sparkSession.sparkContext.defaultParallelism
-    spread = clipped.filter(F.col("_de") <= F.col("_ate")).repartition(tasks, "cupom_id")
+    # Coupons fit in few files but unfold into many days, so spread them first, over as
+    # many tasks as shuffles have.
+    spread = clipped.filter(F.col("_de") <= F.col("_ate")).repartition("cupom_id")
     return spread.select("cupom_id", F.explode(F.sequence("_de", "_ate")).alias("data_venda"))
 
 
@@ -110,17 +109,18 @@ def assign_valid_coupon(
     Coupons are numbered within each day, and a sale takes number ``pick`` modulo
     the day's count. Both steps are equality joins, so no sale ever meets all the
     coupons of its day. Sales that are not eligible, or have no valid coupon, keep
-    a null. ``span`` bounds the sale days where they are known beforehand.
+    a null; they stay where they are. ``span`` bounds the sale days where they are known
+    beforehand.
     """
     days = coupon_days(coupons, *(span or sale_span(sales)))
-    numbered = with_prefix(days, ["data_venda"], ["cupom_id"], _vez=position())
-    per_day = days.groupBy("data_venda").agg(F.count(F.lit(1)).alias("_opcoes"))
-    drawn = sales.withColumns(
-        {"_dia": F.when(eligible, F.col("data_venda")), "_sorteio": pick}
-    )
-    counted = lookup_by_day(drawn, per_day.withColumnRenamed("data_venda", "_dia"), "_dia")
+    # Written once: the numbers are looked up, and their largest is the day's count.
+    numbered = stage(with_prefix(days, ["data_venda"], ["cupom_id"], _vez=position()), "cupom-vez")
+    numbered = numbered.select(F.col("data_venda").alias("_dia"), "_vez", "cupom_id")
+    per_day = numbered.groupBy("_dia").agg(F.max("_vez").alias("_opcoes"))
+    can_have = F.coalesce(eligible, F.lit(False))
+    drawn = sales.filter(can_have).withColumns({"_dia": F.col("data_venda"), "_sorteio": pick})
+    counted = lookup_by_day(drawn, per_day, "_dia")
     placed = counted.withColumn("_vez", F.pmod(F.col("_sorteio"), F.col("_opcoes")) + 1)
-    chosen = left_lookup(
-        placed, numbered.withColumnRenamed("data_venda", "_dia"), ["_dia", "_vez"], row_key
-    )
-    return chosen.drop("_dia", "_vez", "_opcoes", "_sorteio")
+    chosen = left_lookup(placed, numbered, ["_dia", "_vez"], row_key)
+    without = sales.filter(~can_have).withColumn("cupom_id", F.lit(None).cast(coupons.schema["cupom_id"].dataType))
+    return chosen.drop("_dia", "_vez", "_opcoes", "_sorteio").unionByName(without)

@@ -110,12 +110,17 @@ def roll_up(fine: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure
 
 @dataclass(frozen=True)
 class Mart:
-    """One row per key. ``rank_by`` sorts downwards, with the keys breaking ties."""
+    """One row per key. ``rank_by`` sorts downwards, with the keys breaking ties.
+
+    A mart whose rows grow with the data (``grows``) is left unsorted, as a stored
+    table keeps no order that readers may rely on; ``in_order`` sorts it at reading.
+    """
 
     keys: Sequence[str]
     measures: Mapping[str, Measure]
     rank_by: str | None = None
     top: int | None = None
+    grows: bool = False
 
     def of(self, df: DataFrame) -> DataFrame:
         """From rows."""
@@ -126,6 +131,10 @@ class Mart:
         return self.arrange(roll_up(fine, self.keys, self.measures))
 
     def arrange(self, df: DataFrame) -> DataFrame:
+        if self.top is None:
+            return df if self.grows else self.in_order(df)
+        return self.in_order(df).limit(self.top)
+
+    def in_order(self, df: DataFrame) -> DataFrame:
         ranked = [F.desc(self.rank_by)] if self.rank_by else []
-        ordered = df.orderBy(*ranked, *self.keys)
-        return ordered if self.top is None else ordered.limit(self.top)
+        return df.orderBy(*ranked, *self.keys)

@@ -83,6 +83,7 @@ COUPONS = Mart(
     ["cupom_id"],
     {"qtd_usos": known("venda_id"), "receita_com_cupom": amount("valor_total")} | TICKET,
     "qtd_usos",
+    grows=True,
 )
 
 
@@ -151,7 +152,7 @@ def clientes_rfm(
     """Recency in days, frequency and money spent per customer."""
     scored = group(sales, ["cliente_id"], _rfm(as_of))
     who = customers.select("cliente_id", "nome", "regiao", "faixa_score")
-    return scored.join(who, "cliente_id").orderBy(F.desc("monetario"), "cliente_id")
+    return scored.join(who, "cliente_id")
 
 
 def top_clientes_of_summary(fine: DataFrame, customers: DataFrame) -> DataFrame:
@@ -178,10 +179,19 @@ def satisfacao_regiao(reviews: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def estoque_critico(products: DataFrame) -> DataFrame:
-    """Products out of stock. The id breaks ties, so a sort can split equal stocks."""
+    """Products out of stock."""
     gone = products.filter(~F.col("disponivel"))
     columns = ["produto_id", "nome", "categoria", "estoque", "razao_social"]
-    return gone.select(*columns).orderBy("estoque", "produto_id")
+    return gone.select(*columns)
+
+
+def in_order(name: str, mart: DataFrame) -> DataFrame:
+    """A growing mart in the order of its report. They are published unsorted."""
+    orders = {
+        "clientes_rfm": [F.desc("monetario"), F.col("cliente_id")],
+        "estoque_critico": [F.col("estoque"), F.col("produto_id")],
+    }
+    return COUPONS.in_order(mart) if name == "cupons_performance" else mart.orderBy(*orders[name])
 
 
 def cupons_performance(sales: DataFrame, coupons: DataFrame) -> DataFrame:

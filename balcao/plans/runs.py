@@ -2,8 +2,9 @@
 
 Each table is read from published inputs, written in one execution and timed
 around that execution. A table that fails, or lacks an input, leaves the others
-running; its dependents are skipped. At its end a layer publishes all it has
-written and appends the outcome of every phase to the audit log.
+running; its dependents are skipped. Every few tables, and at its end whatever
+happens, a layer publishes what it has written and appends the outcome of every
+phase to the audit log.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from balcao.sources.layers import latest_versions, log_versions, read_table, wri
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 AUDIT_LOG = "pipeline_audit"
+#: Phases between two appends to the logs: a lost driver loses the record of no more.
+FLUSH_EVERY = 8
 
 log = logging.getLogger(__name__)
 
@@ -151,15 +154,25 @@ class LayerRun:
             self.versions[self.layer, name] = version
             self.written.append(version)
             seen["rows"] = version.linhas
+        if len(self.records) >= FLUSH_EVERY:
+            self.flush()
 
     def published(self, layer: str, name: str) -> DataFrame | None:
         return read_table(self.spark, self.root, layer, name, known=self.versions)
 
-    def close(self) -> dict[str, str]:
-        """Publish what was written, and log how it went, in one append each."""
+    def flush(self) -> None:
+        """Publish what was written since the last time, and log how it went, in one append each."""
         log_versions(self.spark, self.root, self.written)
-        audit.audit_append(self.spark, self.records, f"{self.root}/{AUDIT_LOG}")
-        return self.status
+        self.written = []
+        if self.records:
+            audit.audit_append(self.spark, self.records, f"{self.root}/{AUDIT_LOG}")
+            self.records = []
+
+    def __enter__(self) -> LayerRun:
+        return self
+
+    def __exit__(self, *problem: object) -> None:
+        self.flush()
 
 
 def run_bronze(
@@ -170,15 +183,15 @@ def run_bronze(
     which: str = "latest",
     on_error: str = "raise",
 ) -> dict[str, str]:
-    run = LayerRun(spark, root, BRONZE, run_id)
-    for name, schema in schemas.RAW.items():
+    with LayerRun(spark, root, BRONZE, run_id) as run:
+        for name, schema in schemas.RAW.items():
 
-        def read(name=name, schema=schema):
-            found = pick_drop(spark, drops, name, schema, which, on_error)
-            return None if found is None else [found]
+            def read(name=name, schema=schema):
+                found = pick_drop(spark, drops, name, schema, which, on_error)
+                return None if found is None else [found]
 
-        run.table(name, read, lambda df: df)
-    return run.close()
+            run.table(name, read, lambda df: df)
+    return run.status
 
 
 Stale = frozenset[tuple[str, str]]
@@ -215,9 +228,9 @@ def run_silver(
     stale: Stale = frozenset(),
 ) -> dict[str, str]:
     """Cleaned tables. Tables that need a ``stale`` input are skipped."""
-    run = LayerRun(spark, root, SILVER, run_id)
-    _run_jobs(run, SILVER_JOBS, as_of, stale)
-    return run.close()
+    with LayerRun(spark, root, SILVER, run_id) as run:
+        _run_jobs(run, SILVER_JOBS, as_of, stale)
+    return run.status
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame | None:
@@ -237,16 +250,16 @@ def run_gold(
     stale: Stale = frozenset(),
 ) -> dict[str, str]:
     """Business marts, then the marts over the audit log of the runs so far."""
-    run = LayerRun(spark, root, GOLD, run_id)
-    _run_jobs(run, GOLD_JOBS, as_of, stale)
-    for name, question in AUDIT_MARTS.items():
+    with LayerRun(spark, root, GOLD, run_id) as run:
+        _run_jobs(run, GOLD_JOBS, as_of, stale)
+        for name, question in AUDIT_MARTS.items():
 
-        def read():
-            found = read_audit(spark, root)
-            return None if found is None else [found]
+            def read():
+                found = read_audit(spark, root)
+                return None if found is None else [found]
 
-        run.table(name, read, question)
-    return run.close()
+            run.table(name, read, question)
+    return run.status
 
 
 def run_all(

@@ -2,11 +2,13 @@
 
 A publish writes a new version folder and then logs it; readers follow the log.
 A table can therefore be rebuilt from itself, and a failed write leaves the
-previous version in place.
+previous version in place. Every write has a folder of its own, so publishers that
+start from the same state do not touch each other's files; the later one is read.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 from functools import reduce
@@ -33,7 +35,7 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Write ``df`` and return its row count, both from one execution."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("linhas")).write.format(fmt).mode("overwrite").save(path)
+    df.observe(seen, F.count(F.lit(1)).alias("linhas")).write.format(fmt).mode("errorifexists").save(path)
     return seen.get.get("linhas", 0)
 
 
@@ -54,7 +56,7 @@ def table_history(
     if log is None:
         return None
     mine = log.filter((F.col("camada") == layer) & (F.col("tabela") == name))
-    newest_first = mine.orderBy(F.desc("versao"))
+    newest_first = mine.orderBy(F.desc("versao"), F.desc("publicado_em"))
     return newest_first if n is None else newest_first.limit(n)
 
 
@@ -78,7 +80,8 @@ def latest_versions(spark: SparkSession, root: str) -> Versions:
     log = publish_log(spark, root)
     if log is None:
         return {}
-    fields = F.struct("versao", *[f for f in log.columns if f != "versao"])
+    first = ("versao", "publicado_em")
+    fields = F.struct(*first, *[f for f in log.columns if f not in first])
     newest = log.groupBy("camada", "tabela").agg(F.max(fields).alias("ultima"))
     rows = newest.select("ultima.*").select(*Version._fields).collect()
     return {(row["camada"], row["tabela"]): Version(*row) for row in rows}
@@ -90,7 +93,7 @@ def write_version(
     """Write the next version of a table. It counts as published once it is logged."""
     last = known.get((layer, name))
     number = last.versao + 1 if last else 1
-    path = f"{root}/{layer}/{name}/v{number:08d}"
+    path = f"{root}/{layer}/{name}/v{number:08d}-{uuid.uuid4().hex[:12]}"
     rows = write_counted(df, path, fmt)
     operation = "OVERWRITE" if last else "CREATE"
     return Version(layer, name, number, operation, rows, path, datetime.now(timezone.utc))

@@ -19,7 +19,7 @@ def make_session() -> SparkSession:
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         # Short tests spend more on compiling well than they gain from it.
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="balcao-tests-"))
         .getOrCreate()
     )
