@@ -7,11 +7,8 @@ WITH RECURSIVE cut AS (
         '[^\x20\x09-\x0D]+') AS w
     FROM documents
 ), sets AS (
-    SELECT DISTINCT doc_id, unnest(CASE
-        WHEN len(w) = 0 THEN []::VARCHAR[]
-        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s
-    FROM cut
+    SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 4 THEN w ELSE w[i:i + 3] END, ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM cut WHERE len(w) > 0)
 ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
 ), common AS (
     SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
