@@ -555,6 +555,11 @@ BODIES: dict[str, str] = {
         "UNION ALL SELECT 'bronze', t, 'leitura', 0, 'ignorado' FROM (VALUES ('fornecedores'), ('clientes'), "
         "('produtos'), ('cupons'), ('fretes'), ('pagamentos'), ('avaliacoes')) x(t)"
     ),
+    "silver_quarantine": (
+        "SELECT frete_id, venda_id, valor_frete, CASE WHEN venda_id%97<>0 THEN prazo_dias END AS prazo_dias, "
+        "transportadora, status_entrega, CASE WHEN venda_id%97=0 THEN 'prazo_dias' ELSE '' END AS motivo "
+        "FROM fretes WHERE status_entrega<>'CANCELADO'"
+    ),
     "drop_report": (
         "SELECT 'vendas' AS tabela, t AS carimbo, true AS tem_arquivos, true AS tem_bytes "
         "FROM (VALUES ('20240101T000000'), ('20240102T120000')) x(t)"

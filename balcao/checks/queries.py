@@ -144,6 +144,18 @@ def audit_append_rows(w: Warehouse) -> DataFrame:
     return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def silver_quarantine(w: Warehouse) -> DataFrame:
+    """Good and rejected shipments of a cleaned layer, from raw ones with unreadable lead times."""
+    root = fresh_path(w.spark, "quarentena")
+    days = F.when(F.col("venda_id") % 97 == 0, "?").otherwise(F.col("prazo_dias").cast("string"))
+    layers.publish(w.raw("fretes").withColumn("prazo_dias", days), root, runs.BRONZE, "fretes")
+    runs.run_silver(w.spark, root, "r1", AS_OF, on_error="quarantine")
+    good = layers.read_table(w.spark, root, runs.SILVER, "fretes")
+    bad = layers.read_table(w.spark, root, runs.SILVER, f"fretes{runs.REJECTS}")
+    bad = bad.withColumn("motivo", F.array_join(REJECTED, ",")).drop(REJECTED)
+    return good.withColumn("motivo", F.lit("")).unionByName(bad)
+
+
 # --- cleaning and filters ----------------------------------------------------------
 
 
@@ -456,6 +468,7 @@ QUERIES: dict[str, Query] = {
     **{f"gold_shared_{name}": _gold(GOLD_JOBS[name]) for name in SHARED},
     "audit_append": audit_append,
     "audit_append_rows": audit_append_rows,
+    "silver_quarantine": silver_quarantine,
     "audit_run_summary": _asked(audit.run_summary),
     "audit_run_totals": _asked(audit.run_totals),
     "audit_volume_by_layer": _asked(audit.volume_by_layer),

@@ -18,18 +18,29 @@ from datetime import date, datetime, timezone
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from balcao.operators.typing import REJECTED
 from balcao.plans import audit, gold, silver
 from balcao.sources import schemas
+from balcao.sources.drops import REJECTED as RAW_REJECTED
 from balcao.sources.drops import pick_drop
 from balcao.sources.layers import latest_versions, log_versions, read_table, write_version
+from balcao.sources.scratch import stage
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 AUDIT_LOG = "pipeline_audit"
 #: Phases between two appends to the logs: a lost driver loses the record of no more.
 FLUSH_EVERY = 8
 
+#: Columns that mark rows with unreadable values, and how; such rows go to ``<table>_rejeitados``.
+REJECTION_MARKS: dict[str, Callable[[], Column]] = {
+    RAW_REJECTED: lambda: F.col(RAW_REJECTED).isNotNull(),
+    REJECTED: lambda: F.size(REJECTED) > 0,
+}
+REJECTS = "_rejeitados"
+
 log = logging.getLogger(__name__)
 
 
@@ -39,11 +50,15 @@ def new_run_id() -> str:
 
 
 class Job(NamedTuple):
-    """How a table is built: a function of published tables, given as (layer, name)."""
+    """How a table is built: a function of published tables, given as (layer, name).
+
+    ``dated`` jobs take ``as_of``, ``typed`` ones convert values and take ``on_error``.
+    """
 
     build: Callable[..., DataFrame]
     inputs: Sequence[tuple[str, str]]
     dated: bool = False
+    typed: bool = False
 
 
 def _from(layer: str, *names: str) -> list[tuple[str, str]]:
@@ -53,17 +68,20 @@ def _from(layer: str, *names: str) -> list[tuple[str, str]]:
 # In an order in which every table comes after its inputs.
 SILVER_JOBS = {
     "fornecedores": Job(silver.fornecedores, _from(BRONZE, "fornecedores")),
-    "cupons": Job(silver.cupons, _from(BRONZE, "cupons"), dated=True),
-    "fretes": Job(silver.fretes, _from(BRONZE, "fretes")),
-    "pagamentos": Job(silver.pagamentos, _from(BRONZE, "pagamentos")),
-    "clientes": Job(silver.clientes, _from(BRONZE, "clientes", "vendas")),
-    "produtos": Job(silver.produtos, _from(BRONZE, "produtos") + _from(SILVER, "fornecedores")),
+    "cupons": Job(silver.cupons, _from(BRONZE, "cupons"), dated=True, typed=True),
+    "fretes": Job(silver.fretes, _from(BRONZE, "fretes"), typed=True),
+    "pagamentos": Job(silver.pagamentos, _from(BRONZE, "pagamentos"), typed=True),
+    "clientes": Job(silver.clientes, _from(BRONZE, "clientes", "vendas"), typed=True),
+    "produtos": Job(
+        silver.produtos, _from(BRONZE, "produtos") + _from(SILVER, "fornecedores"), typed=True
+    ),
     "vendas": Job(
         silver.vendas,
         _from(BRONZE, "vendas") + _from(SILVER, "produtos", "clientes", "fretes", "pagamentos"),
+        typed=True,
     ),
     "avaliacoes": Job(
-        silver.avaliacoes, _from(BRONZE, "avaliacoes") + _from(SILVER, "vendas", "produtos")
+        silver.avaliacoes, _from(BRONZE, "avaliacoes") + _from(SILVER, "vendas", "produtos"), typed=True
     ),
 }
 
@@ -150,13 +168,23 @@ class LayerRun:
             return
         with self.phase(name, audit.WRITE_PHASE) as seen:
             df = build(*inputs)
-            version = write_version(df, self.root, self.layer, name, self.versions)
-            self.versions[self.layer, name] = version
-            self.written.append(version)
-            seen["rows"] = version.linhas
+            for column, marked in REJECTION_MARKS.items():
+                if column in df.columns:
+                    rejected = marked()
+                    # Written once: the good and the rejected rows come from one execution.
+                    both = stage(df, name)
+                    self._write(both.filter(rejected), f"{name}{REJECTS}")
+                    df = both.filter(~rejected).drop(column)
+            seen["rows"] = self._write(df, name)
         if len(self.records) >= FLUSH_EVERY:
             self.flush()
 
+    def _write(self, df: DataFrame, name: str) -> int:
+        version = write_version(df, self.root, self.layer, name, self.versions)
+        self.versions[self.layer, name] = version
+        self.written.append(version)
+        return version.linhas
+
     def published(self, layer: str, name: str) -> DataFrame | None:
         return read_table(self.spark, self.root, layer, name, known=self.versions)
 
@@ -203,7 +231,11 @@ def stale_tables(layer: str, status: dict[str, str]) -> Stale:
 
 
 def _run_jobs(
-    run: LayerRun, jobs: dict[str, Job], as_of: date | str | None, stale: Stale
+    run: LayerRun,
+    jobs: dict[str, Job],
+    as_of: date | str | None,
+    stale: Stale,
+    on_error: str = "raise",
 ) -> None:
     for name, job in jobs.items():
 
@@ -215,7 +247,8 @@ def _run_jobs(
             return None if any(df is None for df in found) else found
 
         def build(*inputs, job=job):
-            return job.build(*inputs, as_of=as_of) if job.dated else job.build(*inputs)
+            given = ({"as_of": as_of} if job.dated else {}) | ({"on_error": on_error} if job.typed else {})
+            return job.build(*inputs, **given)
 
         run.table(name, read, build)
 
@@ -226,10 +259,15 @@ def run_silver(
     run_id: str,
     as_of: date | str | None = None,
     stale: Stale = frozenset(),
+    on_error: str = "raise",
 ) -> dict[str, str]:
-    """Cleaned tables. Tables that need a ``stale`` input are skipped."""
+    """Cleaned tables. Tables that need a ``stale`` input are skipped.
+
+    With ``on_error="quarantine"``, rows with values that do not convert are left out
+    of a table and published as ``<table>_rejeitados``, with the columns concerned.
+    """
     with LayerRun(spark, root, SILVER, run_id) as run:
-        _run_jobs(run, SILVER_JOBS, as_of, stale)
+        _run_jobs(run, SILVER_JOBS, as_of, stale, on_error)
     return run.status
 
 
@@ -274,6 +312,6 @@ def run_all(
     """All three layers under one run id; returns the status of every table."""
     name = run_id or new_run_id()
     raw = run_bronze(spark, drops, root, name, which, on_error)
-    clean = run_silver(spark, root, name, as_of, stale_tables(BRONZE, raw))
+    clean = run_silver(spark, root, name, as_of, stale_tables(BRONZE, raw), on_error)
     marts = run_gold(spark, root, name, as_of, stale_tables(SILVER, clean))
     return {BRONZE: raw, SILVER: clean, GOLD: marts}
