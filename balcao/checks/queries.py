@@ -426,7 +426,7 @@ def _asked(question: Callable[..., DataFrame], **options) -> Query:
 
 
 # Marts that a whole run derives from the fine summaries.
-SHARED = [*gold.SERVED_BY, "top_clientes", "clientes_rfm"]
+SHARED = [*gold.SALES_MARTS, "top_clientes", "clientes_rfm"]
 
 QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,

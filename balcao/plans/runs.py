@@ -96,10 +96,11 @@ DIRECT_GOLD_JOBS = {
     "cupons_performance": Job(gold.cupons_performance, _from(SILVER, "vendas", "cupons")),
 }
 
-# The same marts in a whole run: those over sales share two fine summaries.
+# The same marts in a whole run: most of those over sales share three summaries.
 GOLD_JOBS = {
     gold.BY_PRODUCT: Job(gold.product_summary, _from(SILVER, "vendas")),
     gold.BY_CUSTOMER: Job(gold.customer_summary, _from(SILVER, "vendas")),
+    gold.BY_KIND: Job(gold.kind_summary, _from(SILVER, "vendas")),
     **DIRECT_GOLD_JOBS,
     **{
         name: Job(gold.SALES_MARTS[name].of_summary, _from(GOLD, source))
