@@ -61,7 +61,7 @@ def _sent(side: DataFrame) -> DataFrame:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """(item_id, length, k, shingles) of each distinct item with words."""
+    """(item, item_id, length, k, shingles) of each distinct item with words; ``item`` is never null."""
     hashed = benchmark.select("item_id", _word_hashes(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
     k = F.least(F.size("hashes"), F.lit(WORDS))
     by_size = reduce(
@@ -71,7 +71,13 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     )
     return (
         hashed.withColumn("k", k)
-        .select("item_id", F.size("hashes").alias("length"), "k", by_size.alias("shingles"))
+        .select(
+            F.xxhash64("item_id", "hashes").alias("item"),
+            "item_id",
+            F.size("hashes").alias("length"),
+            "k",
+            by_size.alias("shingles"),
+        )
         .distinct()
     )
 
@@ -83,11 +89,11 @@ def _anchors(items: DataFrame, similarity: float) -> DataFrame:
     in a shorter document has m < n of them and needs similarity * (n + m) / 2 <= m,
     that is at least n * similarity / (2 - similarity).
     """
-    placed = items.select("item_id", "length", "k", F.posexplode("shingles").alias("place", "shingle"))
-    spread = placed.groupBy("k", "shingle").agg(F.count_distinct("item_id").alias("spread"))
+    placed = items.select("item", "length", "k", F.posexplode("shingles").alias("place", "shingle"))
+    spread = placed.groupBy("k", "shingle").agg(F.count_distinct("item").alias("spread"))
     ranked = placed.join(spread, ["k", "shingle"]).withColumns(
         {
-            "nth": F.row_number().over(Window.partitionBy("item_id", "length").orderBy("spread", "shingle", "place")),
+            "nth": F.row_number().over(Window.partitionBy("item").orderBy("spread", "shingle", "place")),
             "n": F.col("length") - F.col("k") + 1,
         }
     )
@@ -173,13 +179,14 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     window_id = ["doc_id", *_KEY, "begin", "width", "length"]
     weighed = stage(shingled.groupBy(*window_id, "shingle").agg(F.count(F.lit(1)).alias("weight")), "telhas")
 
-    item_weighed = items.select("item_id", "length", F.explode("shingles").alias("shingle"))
-    item_print = item_weighed.groupBy("item_id", "length").agg(
+    item_weighed = items.select("item", "item_id", "length", F.explode("shingles").alias("shingle"))
+    item_print = item_weighed.groupBy("item", "item_id", "length").agg(
         _fingerprint("shingle").alias("item_print"), F.count(F.lit(1)).alias("item_weight")
     )
     flips = F.explode(F.array(*[F.lit(x) for x in _near_values()])).alias("flip")
     blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("no"), _block(F.col("item_print"), b).alias("value")) for b in range(_BLOCKS)]))
     index = item_print.select("*", blocks.alias("block")).select("*", flips).select(
+        "item",
         "item_id",
         "length",
         "item_print",
@@ -199,15 +206,15 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         asked.join(index, ["length", "no", "value"])
         .withColumn("distance", distance)
         .filter(F.col("distance") <= RADIUS)
-        .select(*window_id, "item_id", "distance", "window_weight", "item_weight")
+        .select(*window_id, "item", "item_id", "distance", "window_weight", "item_weight")
         .distinct()
     )
-    pair = [*window_id, "item_id"]
-    item_counts = item_weighed.groupBy("item_id", "length", "shingle").agg(F.count(F.lit(1)).alias("item_count"))
+    pair = [*window_id, "item", "item_id"]
+    item_counts = item_weighed.groupBy("item", "shingle").agg(F.count(F.lit(1)).alias("item_count"))
     shared = (
         stage(near, "candidatos")
         .join(weighed.drop("doc_id"), [c for c in window_id if c != "doc_id"])
-        .join(item_counts, ["item_id", "length", "shingle"])
+        .join(item_counts, ["item", "shingle"])
         .groupBy(*pair, "distance", "window_weight", "item_weight")
         .agg(F.sum(F.least("weight", "item_count")).alias("shared"))
     )
@@ -235,4 +242,4 @@ def _fingerprint_weighted() -> Column:
 def decontaminated(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents, with all their columns, that hold no benchmark item. Null ids are kept."""
     hit = stage(matches(documents, benchmark, similarity).select(F.col("doc_id").alias("of_doc")).distinct(), "vazados")
-    return documents.join(_sent(hit), F.col("doc_id") == F.col("of_doc"), "left_anti")
+    return documents.join(_sent(hit), documents["doc_id"] == hit["of_doc"], "left_anti")

@@ -19,9 +19,12 @@ def test_language_of_held_out_texts(spark):
     assert found.count() == given.count()
 
 
-def test_language_backs_off_to_shorter_grams(spark, awkward):
-    model = language.train(awkward)
-    new = ["quickest jumper", "schnellste Katzen", None, "", "12 34"]
+def test_language_backs_off_to_shorter_grams(spark):
+    english = "the quick brown fox jumps over the lazy dog while the old cat sleeps on the warm mat near the door"
+    german = "der schnelle braune Fuchs springt ueber den faulen Hund und die alte Katze schlaeft auf der Matte"
+    rows = [(1, english, "en"), (2, german, "de")]
+    model = language.train(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    new = ["quickly jumping dogs", "schnellste Katzen", None, "", "12 34"]
     got = language.predicted(model, pa.array(new, pa.string()))
     assert got.field("lang_pred").to_pylist() == ["en", "de", "und", "und", "und"]
     assert got.field("score").to_pylist()[2:] == [0, 0, 0]
