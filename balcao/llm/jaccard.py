@@ -10,13 +10,19 @@ are ordered rarest first; of linked sets, the first n - ceil(least * n) + 1 shin
 of each (its prefix) share one, whatever the order. A shingle that occurs in one
 class only can't be shared, so a class whose prefix is filled with those is done.
 For the others, a pair is a candidate if its prefixes share a shingle in the first
-order, with room left for enough common ones, and then also in each of two further
-orders; only then are the whole sets intersected.
+order, and then also in each of two further
+orders; only then are the whole sets intersected. Where all shingles that two
+prefixes share are known, their number counts: of the two prefixes, the one that
+ends first in the order meets the other's set nowhere else, so what it lacks of the
+needed overlap must come from the shared ones; and from the first shared one on,
+both must have enough shingles left. A bitmap of each set bounds from below by how
+many shingles two sets differ, and drops most other pairs where they meet.
 
 Large groups do not produce all their pairs. In two rounds each shingle's classes
-are only compared with one of them, drawn by hash; the links found join most of a
-group. Then all remaining pairs of different components are compared, so no
-component is cut or merged wrongly.
+are only compared with one of them, first the one with fewest shingles of its own,
+then one drawn by hash; the links found join most of a group. Then all remaining
+pairs of different components are compared, so no component is cut or merged
+wrongly.
 
 How many classes hold a shingle is counted over all of them: groups of texts send
 their distinct shingles, each once with its number, to the task that owns a range
@@ -46,6 +52,8 @@ STAR_ROUNDS = 2
 GROUP_BYTES = 6 << 20
 OWNED_SHINGLES = 2_000_000
 _SPARE_BITS = 14
+#: Bits of a set's parity bitmap: sets differ in at least as many shingles as their bitmaps in bits.
+BITS = 1024
 
 _RIGHT = "grp int, key_1 bigint, key_2 bigint, shingles binary, holders binary"
 
@@ -153,17 +161,23 @@ def _answered(asked: pa.Table) -> pa.Table:
     )
 
 
+def _bits(tokens: np.ndarray) -> np.ndarray:
+    """For each of ``BITS`` values, whether an odd number of the shingles hash to it."""
+    odd = np.bincount((tokens % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _orders(tokens: np.ndarray, held: np.ndarray) -> list[np.ndarray]:
     """Positions of a set's shared shingles under three global orders, rarest first."""
     level = np.frexp(held.astype(np.float64))[1]
     return [
-        np.lexsort((tokens, held)),
+        np.lexsort((tokens.view(np.int64), held)),
         np.lexsort((W.mix(tokens + np.uint64(0x51)), level)),
         np.lexsort((W.mix(tokens ^ np.uint64(0x9D5F3C1B2A7E6480)), level)),
     ]
 
 
-_OPEN = "node binary, n int, single int, tokens array<bigint>, first array<bigint>, second array<bigint>, third array<bigint>"
+_OPEN = "node binary, n int, single int, held bigint, tokens array<bigint>, bits array<bigint>, first array<bigint>, second array<bigint>, third array<bigint>"
 
 
 def _opened(k: int, shift: int, least: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -176,7 +190,7 @@ def _opened(k: int, shift: int, least: int) -> Callable[[pa.Table, pa.Table], pa
         held = np.concatenate(counts) if counts else np.empty(0, np.uint64)
         order = np.argsort(known)
         known, held = known[order], held[order]
-        out: dict[str, list] = {name: [] for name in ("node", "n", "single", "tokens", "first", "second", "third")}
+        out: dict[str, list] = {name: [] for name in ("node", "n", "single", "held", "tokens", "bits", "first", "second", "third")}
         sets = _sets(_chosen_texts(texts, rows.filter(pa.compute.is_valid(rows.column("key_1")))), k)
         for _, _, values, count in sets:
             if not len(known):
@@ -197,10 +211,13 @@ def _opened(k: int, shift: int, least: int) -> Callable[[pa.Table, pa.Table], pa
                 out["n"].append(int(count[i]))
                 out["single"].append(int(single[i]))
                 out["tokens"].append(own.view(np.int64))
-                for name, order in zip(("first", "second", "third"), _orders(shared, theirs), strict=True):
+                out["bits"].append(_bits(own))
+                orders = _orders(shared, theirs)
+                out["held"].append(int(theirs[orders[0][prefix[i] - single[i] - 1]]))
+                for name, order in zip(("first", "second", "third"), orders, strict=True):
                     out[name].append(shared[order[: prefix[i] - single[i]]].view(np.int64))
         lists = pa.list_(pa.int64())
-        types = {"node": pa.binary(), "n": pa.int32(), "single": pa.int32()}
+        types = {"node": pa.binary(), "n": pa.int32(), "single": pa.int32(), "held": pa.int64()}
         return pa.table({name: pa.array(rows, types.get(name, lists)) for name, rows in out.items()})
 
     return finish
@@ -253,53 +270,90 @@ def _checked(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
     )
 
 
-def _may_link(least: int) -> Column:
-    """Sizes fit, and enough shingles are left from where the prefixes meet."""
-    small, large = F.least("n", "other_n"), F.greatest("n", "other_n")
+def _sizes_fit(least: int) -> Column:
+    return F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * least
+
+
+def _bits_near(least: int) -> Column:
+    """Whether the bitmaps leave room for a link, which allows only so many differing shingles."""
+    differ = sum(
+        F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("other_bits", F.lit(i)))) for i in range(BITS // 64)
+    )
+    return differ * (100 + least) <= (F.col("n") + F.col("other_n")) * (100 - least)
+
+
+def _room(least: int) -> Column:
+    """Whether enough shingles are left from where the prefixes meet; true where they meet first, if they link."""
     room = F.least(F.col("n") - F.col("at"), F.col("other_n") - F.col("other_at"))
-    return (small * 100 >= large * least) & (room * (100 + least) >= (F.col("n") + F.col("other_n")) * least)
+    return room * (100 + least) >= (F.col("n") + F.col("other_n")) * least
+
+
+def _up(numerator: Column, denominator: int) -> Column:
+    """Whole division, rounded up."""
+    return F.floor((numerator + (denominator - 1)) / denominator)
+
+
+def _enough(least: int) -> Column:
+    """How many shingles the two prefixes must share, if all that they share are counted."""
+    ends_first = F.when(F.col("last") <= F.col("other_last"), F.col("n")).otherwise(F.col("other_n"))
+    needed = _up((F.col("n") + F.col("other_n")) * least, 100 + least)
+    return needed - _up(ends_first * least, 100) + 1
+
+
+def _draw(k: int) -> list[Column]:
+    """What decides, smallest first, which class leads a shingle's others in a round."""
+    by_hash = F.xxhash64(F.lit(k), "node").alias("draw")
+    return [by_hash] if k else [F.col("single").alias("own"), by_hash]
 
 
 def links(classes: DataFrame, least: int) -> DataFrame:
-    """(node, component) of the classes that link with others."""
-    places = classes.select("node", "n", "single", F.posexplode("first").alias("at", "token"))
-    places = stage(places.select("token", "node", "n", (F.col("at") + F.col("single")).alias("at")), "prefixos")
+    """(node, component) of the classes that may link with others."""
+    ends = F.struct("held", F.element_at("first", -1).alias("token")).alias("last")
+    places = classes.select("node", "n", "single", "bits", ends, F.posexplode("first").alias("at", "token"))
+    places = stage(places.select("token", "node", "n", "single", "last", "bits", (F.col("at") + F.col("single")).alias("at")), "prefixos")
     labels = classes.select("node", F.col("node").alias("component"))
-    edges: DataFrame | None = None
+    own_columns = ("node", "n", "at", "component", "last", "bits")
     for k in range(STAR_ROUNDS + 1):
         own = places.join(labels, "node")
         mixed = own.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("draw"), "node", "n", "at", "component")).alias("lead"),
+            F.min(F.struct(*_draw(k), *own_columns)).alias("lead"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
         )
         mixed = mixed.filter(F.col("low") != F.col("high"))
         if k < STAR_ROUNDS:
-            other = mixed.select(
-                "token",
-                *[F.col(f"lead.{c}").alias(f"other_{c}") for c in ("node", "n", "at", "component")],
-            )
+            other = mixed.select("token", *[F.col(f"lead.{c}").alias(f"other_{c}") for c in own_columns])
         else:
             other = own.join(mixed.select("token"), "token", "left_semi").select(
-                "token", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "at", "component")]
+                "token", *[F.col(c).alias(f"other_{c}") for c in own_columns]
             )
-        apart = (F.col("component") != F.col("other_component")) & _may_link(least)
+        apart = (F.col("component") != F.col("other_component")) & _sizes_fit(least) & _bits_near(least)
         if k == STAR_ROUNDS:
             apart = apart & (F.col("node") < F.col("other_node"))
-        pairs = (
-            own.join(other, "token")
-            .filter(apart)
-            .select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
-            .distinct()
-        )
-        new = stage(_checked(stage(pairs, "pares"), classes, least), "ligas")
-        edges = new if edges is None else edges.unionByName(new)
-        found = components(edges)
+        met = own.join(other, "token").filter(apart)
         if k == STAR_ROUNDS:
-            return found
-        merged = classes.select("node").join(found, "node", "left")
-        labels = stage(merged.select("node", F.coalesce("component", "node").alias("component")), "grupos")
-    raise AssertionError
+            counted = met.groupBy("node", "other_node").agg(
+                F.count(F.lit(1)).alias("shared"),
+                F.max(_enough(least)).alias("enough"),
+                F.bool_or(_room(least)).alias("room"),
+            )
+            met = counted.filter((F.col("shared") >= F.col("enough")) & F.col("room"))
+        pairs = met.select(
+            F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")
+        ).distinct()
+        new = stage(_checked(stage(pairs, "pares"), classes, least), "ligas")
+        labels = stage(_merged(labels, new), "grupos")
+    return labels
+
+
+def _merged(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """Labels (node, component) after further edges (a, b), which meet as edges between components."""
+    one = labels.select(F.col("node").alias("a"), F.col("component").alias("one"))
+    two = labels.select(F.col("node").alias("b"), F.col("component").alias("two"))
+    between = new.join(one, "a").join(two, "b").filter(F.col("one") != F.col("two"))
+    ordered = between.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+    found = components(ordered).select(F.col("node").alias("component"), F.col("component").alias("above"))
+    return labels.join(found, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
 
 
 def linked(documents: DataFrame, k: int = WORDS, least: int = LEAST) -> DataFrame:
