@@ -86,3 +86,13 @@ def test_disguises_are_undone(spark):
     texts = pa.array(["you 1d10t", "you m o r o n", "the river is wide"])
     strongest = toxicity.evidence(model, texts)[:, 0]
     assert strongest[0] > 1 and strongest[1] > 1 and strongest[2] == 0
+
+
+def test_disguises_by_gaps_doubling_and_neighbours_are_undone(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = toxicity.train(documents, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    assert toxicity.restore(model.trigrams, b"i d i o t m o r o n") == b"idiot moron"
+    disguised = ["you are a m o r o n", "i d i o t m o r o n", "you i  d  i  o  t", "i--d--i--o--t", "i\td\ti\to\tt"]
+    disguised += ["m\no\nr\no\nn", "m,o,r,o,n", "m/o/r/o/n", "you id iot", "iddiioott", "mor0n!", "idio+"]
+    strongest = toxicity.evidence(model, pa.array([*disguised, "the river is wide"]))[:, 0]
+    assert [x for x, s in zip(disguised, strongest, strict=False) if s < 1] == [] and strongest[-1] == 0
