@@ -10,9 +10,10 @@ both weights (a shingle weighs its number of occurrences), is at least
 ``SIMILARITY``.
 
 Only windows that can reach the similarity are fingerprinted: one that does shares
-at least one of any n - ceil(SIMILARITY * n / (2 - SIMILARITY)) + 1 shingles of its item, so windows
-start where one of the item's rarest shingles would put them. A document shorter
-than an item is one window.
+at least one of any n - ceil(SIMILARITY * n / (2 - SIMILARITY)) + 1 shingles of its item, so a document
+and an item are compared if they share one of the item's rarest shingles. Of the
+document's windows, in whatever order the item's parts stand there, all are taken
+that hold enough shingles of the item. A document shorter than an item is one window.
 
 Null and empty texts and items match nothing. Rows are told apart by id and text;
 rows equal in both count once. Extra columns are not read. Everything runs in
@@ -38,6 +39,16 @@ BROADCAST_ROWS = 500_000
 _KEY = ("key_1", "key_2")
 
 
+def _form() -> Column:
+    """Items of the same words in the same order are one form."""
+    return F.xxhash64("shingles").alias("form")
+
+
+def _of_size(k: Column) -> Column:
+    """The shingles of ``hashes`` with ``k`` words, ``WORDS`` at most."""
+    return reduce(lambda rest, n: F.when(k == n, _shingles("hashes", n)).otherwise(rest), range(1, WORDS), _shingles("hashes", WORDS))
+
+
 def _word_hashes(text: Column) -> Column:
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
@@ -64,11 +75,6 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, length, k, shingles) of each distinct item with words; ``item`` is never null."""
     hashed = benchmark.select("item_id", _word_hashes(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
     k = F.least(F.size("hashes"), F.lit(WORDS))
-    by_size = reduce(
-        lambda rest, n: F.when(F.col("k") == n, _shingles("hashes", n)).otherwise(rest),
-        range(1, WORDS),
-        _shingles("hashes", WORDS),
-    )
     return (
         hashed.withColumn("k", k)
         .select(
@@ -76,20 +82,20 @@ def items_of(benchmark: DataFrame) -> DataFrame:
             "item_id",
             F.size("hashes").alias("length"),
             "k",
-            by_size.alias("shingles"),
+            _of_size(F.col("k")).alias("shingles"),
         )
         .distinct()
     )
 
 
 def _anchors(items: DataFrame, similarity: float) -> DataFrame:
-    """(k, shingle, place, length): the rarest shingles of each item, enough to miss no match.
+    """(k, shingle, form, length): the rarest shingles of each item, enough to miss no match.
 
     A window of as many shingles as the item (n) needs similarity * n shared ones; one
     in a shorter document has m < n of them and needs similarity * (n + m) / 2 <= m,
     that is at least n * similarity / (2 - similarity).
     """
-    placed = items.select("item", "length", "k", F.posexplode("shingles").alias("place", "shingle"))
+    placed = items.select("item", "length", "k", _form(), F.posexplode("shingles").alias("place", "shingle"))
     spread = placed.groupBy("k", "shingle").agg(F.count_distinct("item").alias("spread"))
     ranked = placed.join(spread, ["k", "shingle"]).withColumns(
         {
@@ -98,7 +104,7 @@ def _anchors(items: DataFrame, similarity: float) -> DataFrame:
         }
     )
     needed = F.ceil(F.lit(similarity / (2 - similarity)) * F.col("n") - F.lit(1e-9))
-    return ranked.filter(F.col("nth") <= F.col("n") - needed + 1).select("k", "shingle", "place", "length").distinct()
+    return ranked.filter(F.col("nth") <= F.col("n") - needed + 1).select("k", "shingle", "form", "length").distinct()
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -110,19 +116,47 @@ def _keyed(documents: DataFrame) -> DataFrame:
     ).filter("text is not null")
 
 
-def _windows(keyed: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(key, begin, width, length): where an item of ``length`` words may lie."""
+def _windows(keyed: DataFrame, items: DataFrame, anchors: DataFrame, similarity: float) -> DataFrame:
+    """(key, begin, width, length): where an item of ``length`` words may lie.
+
+    A window of s shingles needs similarity * (s + n) / 2 of them in the item's n. Every
+    so many successive places of the item's shingles bound the windows that hold them all.
+    """
     hashed = keyed.select(*_KEY, _word_hashes(F.col("text")).alias("hashes"))
     sizes = [row.k for row in anchors.select("k").distinct().collect()]  # at most WORDS numbers
     own = _sent(anchors)
     parts = []
     for k in sorted(sizes):
-        runs = hashed.select(*_KEY, F.size("hashes").alias("n"), F.posexplode(_shingles("hashes", k)).alias("at", "shingle"))
+        runs = hashed.select(*_KEY, F.explode(_shingles("hashes", k)).alias("shingle"))
         parts.append(runs.join(own.filter(F.col("k") == k), "shingle"))
-    found = reduce(DataFrame.unionByName, parts)
-    width = F.least("n", "length")
-    begin = F.least(F.greatest(F.col("at") - F.col("place"), F.lit(0)), F.col("n") - width)
-    return found.select(*_KEY, begin.alias("begin"), width.alias("width"), "length").distinct()
+    found = stage(reduce(DataFrame.unionByName, parts).select(*_KEY, "form", "k", "length").distinct(), "pares")
+    per_doc = found.groupBy(*_KEY).agg(F.collect_list(F.struct("form", "k", "length")).alias("pairs"))
+    asked = keyed.join(_sent(stage(per_doc, "pares-doc")), [*_KEY]).dropDuplicates([*_KEY])
+    asked = asked.select(*_KEY, _word_hashes(F.col("text")).alias("hashes"), "pairs")
+    asked = asked.select(*_KEY, "hashes", F.explode("pairs").alias("pair")).select(*_KEY, "hashes", "pair.*")
+    forms = stage(items.select(_form(), F.array_distinct("shingles").alias("own"), F.size("shingles").alias("n_item")).distinct(), "formas")
+    inside = F.transform(_of_size(F.col("k")), lambda x, at: F.when(F.array_contains("own", x), at))
+    n, width = F.size("hashes"), F.least(F.size("hashes"), "length")
+    placed = asked.join(forms, "form").select(
+        *_KEY,
+        "length",
+        n.alias("n"),
+        width.alias("width"),
+        (width - F.col("k") + 1).alias("s"),
+        F.greatest(F.ceil(similarity * (width - F.col("k") + 1 + F.col("n_item")) / 2 - F.lit(1e-9)), F.lit(1)).cast("int").alias("needed"),
+        F.filter(inside, lambda at: at.isNotNull()).alias("places"),
+    )
+    enough = F.filter("places", lambda _, i: i + F.col("needed") <= F.size("places"))
+    ends = F.transform(
+        enough,
+        lambda at, i: F.struct(
+            F.greatest(F.get("places", i + F.col("needed") - 1) - F.col("s") + 1, F.lit(0)).alias("low"),
+            F.least(at, F.col("n") - F.col("width")).alias("high"),
+        ),
+    )
+    bounded = placed.select(*_KEY, "width", "length", F.explode(ends).alias("of")).filter("of.low <= of.high")
+    begin = F.explode(F.sequence("of.low", "of.high")).alias("begin")
+    return bounded.select(*_KEY, begin, "width", "length").distinct()
 
 
 def _fingerprint(shingle: str) -> Column:
@@ -160,7 +194,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
             F.lit(0.0).alias("similarity"),
             F.lit(0).alias("distance"),
         )
-    spots = stage(_windows(keyed, anchors), "janelas")
+    spots = stage(_windows(keyed, items, anchors, similarity), "janelas")
     per_doc = spots.groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "width", "length")).alias("spots"))
     own = _sent(stage(per_doc, "janelas-doc"))
     with_words = (
@@ -172,10 +206,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         "doc_id", *_KEY, F.slice("hashes", F.col("spot.begin") + 1, F.col("spot.width")).alias("hashes"), "spot.*"
     )
     k = F.least(F.col("length"), F.lit(WORDS))
-    by_size = reduce(
-        lambda rest, n: F.when(k == n, _shingles("hashes", n)).otherwise(rest), range(1, WORDS), _shingles("hashes", WORDS)
-    )
-    shingled = opened.select("doc_id", *_KEY, "begin", "width", "length", F.explode(by_size).alias("shingle"))
+    shingled = opened.select("doc_id", *_KEY, "begin", "width", "length", F.explode(_of_size(k)).alias("shingle"))
     window_id = ["doc_id", *_KEY, "begin", "width", "length"]
     weighed = stage(shingled.groupBy(*window_id, "shingle").agg(F.count(F.lit(1)).alias("weight")), "telhas")
 

@@ -146,6 +146,16 @@ def test_matches_equal_brute_force(spark):
     assert left == {d for d, _ in rows} - {d for d, _ in got if d is not None}
 
 
+def test_matches_of_reordered_items_equal_brute_force(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    items = [(1, f"{one} {two}"), (2, f"{one} {two}"), (3, "x y x y x y x y x y x y")]
+    rows = [(1, f"{PLAIN} {two} {one} {OTHER}"), (2, f"{two} {one}"), (3, f"{PLAIN} {two} {PLAIN} {one}"), (4, "y x " * 9)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.matches(documents(spark, rows), benchmark)
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got == brute_matches(rows, items) and {(1, 1), (1, 2), (2, 1), (4, 3)} <= got
+
+
 def test_matches_of_awkward_rows(spark, awkward, nothing):
     benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     empty = benchmark.limit(0)
