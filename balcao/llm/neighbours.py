@@ -7,7 +7,7 @@ neighbours on every curve by exact Euclidean distance, and the finds of all curv
 merge into its nearest.
 
 Searched ranges are a share of the curve (``reach`` to each side), so that recall
-does not fall as the table grows; how many ranges that is follows from
+does not fall as the table grows; small tables are one range, searched whole. How many ranges that is follows from
 ``range_rows``, the rows that one task holds. Equal vectors are one entry with its
 smallest ids, so a vector that fills much of the table neither makes a range large
 nor hides its neighbours.
@@ -169,11 +169,12 @@ def nearest(
     deviation = _deviations(entries, made, mean)
     placed = stage(entries.mapInArrow(_placed(made, mean, deviation, BITS), f"curve int, key bigint, {_fields(entries)}"), "curvas")
 
-    ranges = max(RANGES, -(-total // range_rows))
+    # A range holds several times the wanted neighbours, so small tables are few ranges, or one.
+    ranges = max(1, min(RANGES, total // (4 * count)), -(-total // range_rows))
     aside = max(1, int(np.ceil(reach * ranges)))
-    cuts = placed.groupBy("curve").agg(
-        F.percentile_approx("key", [i / ranges for i in range(1, ranges)], F.lit(max(10_000, 20 * ranges))).alias("cuts")
-    )
+    shares = [i / ranges for i in range(1, ranges)]
+    quantiles = F.percentile_approx("key", shares, F.lit(max(10_000, 20 * ranges))) if shares else F.array().cast("array<bigint>")
+    cuts = placed.groupBy("curve").agg(quantiles.alias("cuts"))
     ranged = stage(
         placed.join(F.broadcast(cuts), "curve").select(
             "curve", _range_of("key", "cuts").alias("range"), "entry", "vector"

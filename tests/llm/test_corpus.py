@@ -254,6 +254,23 @@ def test_awkward_vectors(spark):
     assert neighbours.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+def brute_neighbours(rows, query, count=10):
+    """The nearest other rows of a query, (vec_id, distance), ties by smaller id."""
+    own = dict(rows)[query]
+    far = [(math.dist(np.float32(own), np.float32(v)), i) for i, v in rows if i != query]
+    return [(i, pytest.approx(d)) for d, i in sorted(far)[:count]]
+
+
+@pytest.mark.parametrize("n", [5, 8, 11, 16, 20, 40])
+def test_few_vectors_are_searched_whole(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, rng.standard_normal(6).tolist()) for i in range(n)]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id bigint, vector array<float>"), F.col("vec_id") < 2).collect()
+    for query in (0, 1):
+        own = sorted((r for r in found if r.query_id == query), key=lambda r: r["rank"])
+        assert [(r.vec_id, r.score) for r in own] == brute_neighbours(rows, query)
+
+
 # --- page text ------------------------------------------------------------------------
 
 PAGE = (
