@@ -109,23 +109,30 @@ def _searched(nearest: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Exact distances of a range's queries to its entries; the nearest of each are kept."""
 
     def search(entries: pa.Table, queries: pa.Table) -> pa.Table:
-        asked, found, distance = [], [], []
+        asked, found, ids, distance = [], [], [], []
         if entries.num_rows and queries.num_rows:
             x, q = _matrix(entries.column("vector")), _matrix(queries.column("vector"))
             names, own = entries.column("entry").to_numpy(), queries.column("entry").to_numpy()
             kept = min(nearest + 1, len(x))
-            rough = (x * x).sum(axis=1)
+            squares = (x * x).sum(axis=1)
+            least, place = np.unique(entries.column("least").to_numpy(zero_copy_only=False), return_inverse=True)
             for i in range(len(q)):
-                near = np.argpartition(rough - 2 * (x @ q[i]), kept - 1)[:kept]
-                near = near[np.argsort(names[near])]
+                # Squared distances but for the query's own square, with the rounding they may have.
+                rough = squares - 2 * (x @ q[i])
+                slack = 1e-15 * (x.shape[1] + 8) * (squares.max() + q[i] @ q[i])
+                near = np.flatnonzero(rough <= np.partition(rough, kept - 1)[kept - 1] + 2 * slack)
+                exact = np.sqrt(((x[near] - q[i]) ** 2).sum(axis=1))
+                order = np.lexsort((place[near], exact))[:kept]
                 asked.append(np.full(kept, own[i]))
-                found.append(names[near])
-                distance.append(np.sqrt(((x[near] - q[i]) ** 2).sum(axis=1)))
+                found.append(names[near[order]])
+                ids.append(least[place[near[order]]])
+                distance.append(exact[order])
         none = np.empty(0)
         return pa.table(
             {
                 "query": pa.array(np.concatenate(asked) if asked else none.astype(np.int64)),
                 "entry": pa.array(np.concatenate(found) if found else none.astype(np.int64)),
+                "least": pa.array(np.concatenate(ids) if ids else [], entries.schema.field("least").type),
                 "score": pa.array(np.concatenate(distance) if distance else none),
             }
         )
@@ -134,11 +141,11 @@ def _searched(nearest: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 
 def _entries(rows: DataFrame, nearest: int) -> tuple[DataFrame, DataFrame]:
-    """(entry, vector) of distinct vectors, and (entry, vec_id, nth) with the smallest ids of each."""
+    """(entry, vector, least id) of distinct vectors, and (entry, vec_id, nth) with the smallest ids of each."""
     named = rows.withColumn("entry", F.xxhash64("vector"))
     nth = F.row_number().over(Window.partitionBy("entry").orderBy("vec_id"))
     ids = named.select("entry", "vec_id", nth.alias("nth")).filter(F.col("nth") <= nearest + 1)
-    return named.groupBy("entry").agg(F.first("vector").alias("vector")), ids
+    return named.groupBy("entry").agg(F.first("vector").alias("vector"), F.min("vec_id").alias("least")), ids
 
 
 def nearest(
@@ -177,7 +184,7 @@ def nearest(
     cuts = placed.groupBy("curve").agg(quantiles.alias("cuts"))
     ranged = stage(
         placed.join(F.broadcast(cuts), "curve").select(
-            "curve", _range_of("key", "cuts").alias("range"), "entry", "vector"
+            "curve", _range_of("key", "cuts").alias("range"), "entry", "vector", "least"
         ),
         "faixas",
     )
@@ -187,13 +194,13 @@ def nearest(
         *[F.col(c).alias(c) for c in ("curve", "entry", "vector")], around
     )
     hits = ranged.groupBy("curve", "range").cogroup(queries.groupBy("curve", "range")).applyInArrow(
-        _searched(count), "query bigint, entry bigint, score double"
+        _searched(count), f"query bigint, entry bigint, least {entries.schema['least'].dataType.simpleString()}, score double"
     )
-    merged = hits.groupBy("query", "entry").agg(F.min("score").alias("score"))
-    place = F.row_number().over(Window.partitionBy("query").orderBy("score", "entry"))
+    merged = hits.groupBy("query", "entry").agg(F.min("score").alias("score"), F.min("least").alias("least"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy("score", "least"))
     few = merged.withColumn("place", place).filter(F.col("place") <= count + 1)
 
-    # Ties of distance at the end of the list go to smaller ids, so ids decide after the merge.
+    # Ties of distance go to smaller ids: each entry before the cut has a pair before all pairs of those after it.
     named = few.select("query", "entry", "score").join(ids, "entry")
     pairs = asking.select(F.col("vec_id").alias("query_id"), "query").join(named, "query")
     pairs = pairs.filter((F.col("query") != F.col("entry")) | (F.col("query_id") != F.col("vec_id")))

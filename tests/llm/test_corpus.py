@@ -271,6 +271,18 @@ def test_few_vectors_are_searched_whole(spark, n):
         assert [(r.vec_id, r.score) for r in own] == brute_neighbours(rows, query)
 
 
+def test_ties_between_different_vectors_go_to_smaller_ids(spark):
+    signs = [[float(i == j) * s for j in range(16)] for s in (1, -1) for i in range(16)]
+    rows = [(0, [3.0] * 16), *((i + 1, v) for i, v in enumerate(signs)), *((i + 40, v) for i, v in enumerate(signs[:4]))]
+    large = [(i, [x + 1e6 for x in v]) for i, v in rows]
+    for given in (rows, large):
+        frame = spark.createDataFrame(given, "vec_id bigint, vector array<float>")
+        found = neighbours.nearest(frame, F.col("vec_id").isin(0, 5)).collect()
+        for query in (0, 5):
+            own = sorted((r for r in found if r.query_id == query), key=lambda r: r["rank"])
+            assert [(r.vec_id, r.score) for r in own] == brute_neighbours(given, query)
+
+
 # --- page text ------------------------------------------------------------------------
 
 PAGE = (
