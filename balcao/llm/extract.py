@@ -3,7 +3,9 @@
 The standard library's parser streams events. They build blocks: texts between
 block-level tags, white space turned into one space, character references decoded.
 Scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments are set aside by tag, role or name. Each block has a text-to-tag
+reader comments are set aside by tag, role or name; not so an element with a name,
+or a form, that is wrapped around an article or main region. A name counts as a whole, by its
+first or by its last part, but not as a state ("has-sidebar", "comments-open"). Each block has a text-to-tag
 ratio (characters outside links, per tag); the ratios are smoothed with a Gaussian over
 neighbouring blocks. Blocks that share an article (or, where there is none, a
 section) form a region, and a threshold between the two clusters of the regions'
@@ -34,8 +36,8 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ASIDE = frozenset(
-    "script style noscript template head title nav header footer aside form button select textarea input option "
-    "fieldset iframe object svg canvas audio video dialog menu map math".split()
+    "script style noscript template head title nav header footer aside button select textarea input option "
+    "fieldset iframe object svg canvas audio video dialog menu map".split()
 )
 _MAIN = frozenset(["article", "main"])
 _SECTION = frozenset("section div td body blockquote".split())
@@ -50,7 +52,12 @@ _ASIDE_NAMES = frozenset(
     "navigation breadcrumb breadcrumbs header masthead footer comment comments respond reply replies disqus share "
     "sharing social related recommended pagination pager toolbar search form".split()
 )
-_NAME = re.compile(r"[A-Za-z0-9]+")
+#: First and last parts of names that tell a state of the page or an element, not what it is.
+_STATE_FIRST = frozenset("has no with without is".split())
+_STATE_LAST = frozenset("open opened closed enabled disabled allowed active".split())
+#: What a form holds only if it is wrapped around a page.
+_IN_PAGES = frozenset("article main header footer nav h1".split())
+_PART = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
@@ -59,8 +66,12 @@ class _Blocks(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int | None]] = []  # tag, set aside, region it begins
-        self.blocks: list[tuple[str, int, int, int, bool]] = []
+        self.open: list[tuple[str, int, int | None]] = []  # tag, whether set aside, region it begins
+        self.blocks: list[tuple[str, int, int, int, int]] = []
+        # Elements set aside by name or as forms: (the one around it, tag), and which are wrappers after all.
+        self.named: list[tuple[int, str]] = [(0, "")]
+        self.wrappers: set[int] = set()
+        self.inside = [0]
         self.regions = 1
         self.text: list[str] = []
         self.tags = self.linked = self.asides = self.links = 0
@@ -70,12 +81,14 @@ class _Blocks(HTMLParser):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
             region = self.mains[-1] if self.mains else self.sections[-1]
-            self.blocks.append((text, self.tags + 1, self.linked, region, self.asides > 0))
+            self.blocks.append((text, self.tags + 1, self.linked, region, -1 if self.asides else self.inside[-1]))
         self.text, self.tags, self.linked = [], 0, 0
 
     def _pop_to(self, at: int) -> None:
         for tag, aside, region in reversed(self.open[at:]):
-            self.asides -= aside
+            self.asides -= aside == _WHOLLY
+            if aside == _UNLESS_WRAPPED:
+                self.inside.pop()
             self.links -= tag == "a"
             if region is not None:
                 (self.mains if tag in _MAIN else self.sections).pop()
@@ -103,10 +116,33 @@ class _Blocks(HTMLParser):
             self.regions += 1
             (self.mains if tag in _MAIN else self.sections).append(region)
         aside = _set_aside(tag, attrs)
-        self.asides += aside
+        self._unwrap(tag, attrs)
+        self.asides += aside == _WHOLLY
+        if aside == _UNLESS_WRAPPED:
+            self.named.append((self.inside[-1], tag))
+            self.inside.append(len(self.named) - 1)
         self.links += tag == "a"
         self.open.append((tag, aside, region))
 
+    def _unwrap(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        """Elements set aside by name or as forms that the new one shows to be wrappers."""
+        if self.asides or len(self.inside) == 1:
+            return
+        if tag in _MAIN:
+            # Comments are often articles within an article, or named for what they are.
+            around = any(t == "article" for t, _, _ in self.open)
+            if not around and not any(name in ("class", "id") and value and _named_aside(value) for name, value in attrs):
+                self.wrappers.update(self.inside[1:])
+        elif tag in _IN_PAGES and self.named[self.inside[-1]][1] == "form":
+            self.wrappers.add(self.inside[-1])
+
+    def set_aside(self) -> list[bool]:
+        """Whether each block is set aside, known when all elements are closed."""
+        aside = [False]
+        for number, (around, _) in enumerate(self.named[1:], 1):
+            aside.append(number not in self.wrappers or aside[around])
+        return [inside < 0 or aside[inside] for *_, inside in self.blocks]
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in _VOID and self.open and self.open[-1][0] == tag:
@@ -129,22 +165,36 @@ class _Blocks(HTMLParser):
         self._end_block()
 
 
-def _set_aside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+_NOT, _UNLESS_WRAPPED, _WHOLLY = range(3)
+
+
+def _named_aside(value: str) -> bool:
+    """Whether a name of a class or id stands for what is set aside."""
+    for name in value.lower().split():
+        parts = [part for part in _PART.split(name) if part]
+        if parts and parts[0] not in _STATE_FIRST and parts[-1] not in _STATE_LAST:
+            if parts[0] in _ASIDE_NAMES or parts[-1] in _ASIDE_NAMES:
+                return True
+    return False
+
+
+def _set_aside(tag: str, attrs: list[tuple[str, str | None]]) -> int:
     if tag in _ASIDE:
-        return True
+        return _WHOLLY
     if tag in _MAIN or tag in ("html", "body"):
-        return False
+        return _NOT
+    found = _UNLESS_WRAPPED if tag == "form" else _NOT
     for name, value in attrs:
         if not value:
             if name == "hidden":
-                return True
+                return _WHOLLY
         elif name == "role" and value.strip().lower() in _ASIDE_ROLES:
-            return True
-        elif name in ("class", "id") and not _ASIDE_NAMES.isdisjoint(_NAME.findall(value.lower())):
-            return True
+            return _WHOLLY
+        elif name in ("class", "id") and _named_aside(value):
+            found = _UNLESS_WRAPPED
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-    return False
+            return _WHOLLY
+    return found
 
 
 def _smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -174,7 +224,7 @@ def main_text(html: str | None) -> str:
     page = _Blocks()
     page.feed(html)
     page.close()
-    blocks = page.blocks
+    blocks = [(*block[:4], aside) for block, aside in zip(page.blocks, page.set_aside(), strict=True)]
     if not blocks:
         return ""
     ratios = np.array([0.0 if aside else (len(text) - min(linked, len(text))) / tags for text, tags, linked, _, aside in blocks])

@@ -328,6 +328,25 @@ def test_given_pages_keep_their_article(spark):
         assert row.text == "\n".join(x for x in cleaned if x)
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div class='content-sidebar-wrap'><main><p>kept</p></main></div>",
+        "<div class='has-sidebar'><p>kept</p></div>",
+        "<div id='page-header-fixed'><p>kept</p></div>",
+        "<section class='post comments-open'><p>kept</p></section>",
+        "<div class='sidebar-layout'><div class=menu>no</div><article><p>kept</p></article></div>",
+        "<form id=aspnetForm><nav>no</nav><article><p>kept</p></article></form>",
+        "<form><header>no</header><div><p>kept</p></div></form>",
+        "<article><p><math><mi>kept</mi></math></p></article>",
+        "<article><p>kept</p><section id=comments><article>no</article></section></article>",
+        "<p>kept</p><div class='site-footer'>no</div><form>no</form><div class='cookie-notice'>no</div>",
+    ],
+)
+def test_wrappers_keep_their_article(html):
+    assert extract.main_text(f"<html><body>{html}</body></html>") == "kept"
+
+
 # --- pipeline -------------------------------------------------------------------------
 
 
