@@ -15,7 +15,10 @@ from balcao.llm import (
     mixing,
     neighbours,
     quality,
+    repair,
     toxicity,
+    variants,
+    whitening,
 )
 from balcao.llm.tables import fold, given
 
@@ -81,6 +84,20 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(given(spark, folder, "documents"))
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = given(spark, folder, "conversations")
+    return repair.every_conversation(turns, repair.repair(repair.damaged(turns)))
+
+
+def op12_whiten(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = given(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return whitening.whitened(vectors)
+
+
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.linked(given(spark, folder, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -94,5 +111,8 @@ QUERIES = {
         op8_quality,
         op9_toxicity,
         op10_mix,
+        op11_repair,
+        op12_whiten,
+        op13_simhash,
     )
 }
