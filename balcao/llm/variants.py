@@ -196,7 +196,8 @@ def links(marks: DataFrame, crowd: int = CROWD) -> DataFrame:
     """
     every = signatures(marks)
     shared = stage(every.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "variantes")
-    members = stage(every.join(shared, "variant"), "portadores")
+    # Both sides grow with the corpus, so neither is ever broadcast; a hot variant is split at run time.
+    members = stage(every.join(shared.hint("merge"), "variant"), "portadores")
     few = members.filter(F.col("n") <= crowd).select("variant", "mark")
     pairs = few.select("variant", F.col("mark").alias("a")).join(few.withColumnRenamed("mark", "b"), "variant")
     near = pairs.filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS))
