@@ -10,13 +10,14 @@ add up to more than the best crossing, so that every node of every cheapest path
 settled by one of them; the least audit text among those paths is then read off from
 the start, edge by edge, as the edges that leave a node all have different initials.
 
-Spark sorts the rows of all conversations into blocks (``operators/ordered``), numbers
-them, and finds earlier equal rows by grouping, so neither needs a conversation in one
-place. One of at most ``BLOCK`` rows is then a group of its own. A longer one is repaired
-block by block: the costs from each state to each state of a block are 16 searches in
-its own task, a row per block then chains them, and each block writes its edits
-for the states it may be entered in. Only the SHA-256 of a long conversation, which has to read
-its texts in order, streams them through one task, in sorted rows and bounded memory.
+Spark brings the rows of a conversation of at most ``BLOCK`` rows together, sorted, and
+each conversation is repaired as it passes. A longer one is never in one place: its rows
+are numbered in blocks of the whole ordering (``operators/ordered``), earlier equal rows
+are found by grouping, and it is repaired block by block: the costs from each state to each
+state of a block are 16 searches in its own task, a row per block then chains them, and each
+block writes its edits for the states it may be entered in. Only the SHA-256 of a long
+conversation, which has to read its texts in order, streams them through one task, in
+sorted rows and bounded memory.
 
 Defined cases. Null role or text counts as one space, a null turn comes first, and all
 rows with null conv_id are one conversation. Rows of equal turn are ordered by role, then by the
@@ -30,6 +31,7 @@ import hashlib
 import heapq
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import cache, lru_cache
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -54,8 +56,12 @@ LEFT_TRUNCATED = 5
 _NEXT = {START: USER, SYSTEM: USER, USER: ASSISTANT, ASSISTANT: USER}
 _LAST = {START: 0, ASSISTANT: 0}
 _FAR = 1 << 60
+_LEGAL = ("su", "ua", "au")
+FIGURES = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
 
 SPACE = " \t\n\v\f\r"
+#: Order of rows within a conversation.
+ORDER = ["turn", "role", "opening", "same"]
 
 
 # --- the lattice ---------------------------------------------------------------------
@@ -205,35 +211,32 @@ def repaired(rows: Sequence[tuple[str, str]], audit: str, begin: int = START) ->
 # --- faults --------------------------------------------------------------------------
 
 
-def ordered(turns: DataFrame) -> DataFrame:
-    """Turns with their place in the conversation, first fault and the initial before, stored."""
+def _keyed(turns: DataFrame) -> DataFrame:
+    """Turns without nulls in role and text, a digest of what each says, and its fault but for duplicates."""
     space = lambda c: F.coalesce(F.col(c), F.lit(" ")).alias(c)
-    rows = turns.select("conv_id", "turn", space("role"), space("text"))
-    # Equal rows are counted, then numbered, so that the order of rows is total.
-    counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("times"))
     said = F.concat_ws("\x00", F.length("role").cast("string"), "role", "text")
     whose = F.coalesce(F.concat(F.lit("#"), F.col("conv_id").cast("string")), F.lit(""))
-    single = counted.select(
-        "conv_id", "turn", "role", "text", F.substring("text", 1, 64).alias("opening"),
-        F.sha2(F.concat_ws("\x00", whose, said), 256).alias("same"),
-        F.substring("role", 1, 1).alias("initial"),
-        F.explode(F.sequence(F.lit(1).cast("bigint"), "times")).alias("copy"),
+    bare = F.rtrim("text", F.lit(SPACE))
+    fault = F.when(bare == "", BLANK).when(F.right(bare, F.lit(1)).isin(".", "!", "?"), SOUND).otherwise(TRUNCATED)
+    return turns.select("conv_id", "turn", space("role"), space("text")).select(
+        "*", F.substring("text", 1, 64).alias("opening"),
+        F.sha2(F.concat_ws("\x00", whose, said), 256).alias("same"), fault.alias("fault"),
     )
-    order = ["turn", "role", "opening", "same", "copy"]
-    placed = with_prefix(single, ["conv_id"], order, pos=position(), before=previous("initial"))
+
+
+def ordered(keyed: DataFrame) -> DataFrame:
+    """Turns with their place in the conversation, first fault and the initial before, stored."""
+    # Equal rows are counted, then numbered, so that the order of rows is total.
+    counted = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("times"))
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), "times")).alias("copy")
+    single = counted.select(*keyed.columns, F.substring("role", 1, 1).alias("initial"), copy)
+    placed = with_prefix(single, ["conv_id"], [*ORDER, "copy"], pos=position(), before=previous("initial"))
     # Earlier equal rows: only digests that repeat are joined.
     firsts = placed.groupBy("same").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("times"))
     joined = placed.join(firsts.filter("times > 1").select("same", "first"), "same", "left")
-    bare = F.rtrim("text", F.lit(SPACE))
-    fault = (
-        F.when(bare == "", BLANK)
-        .when(F.col("pos") > F.col("first"), DUPLICATE)
-        .when(~F.right(bare, F.lit(1)).isin(".", "!", "?"), TRUNCATED)
-        .otherwise(SOUND)
-    )
-    return stage(
-        joined.select("conv_id", "turn", "pos", "role", "text", fault.alias("fault"), "initial", "before"), "turnos"
-    )
+    again = (F.col("pos") > F.col("first")) & (F.col("fault") != BLANK)
+    fault = F.when(again, DUPLICATE).otherwise(F.col("fault")).alias("fault")
+    return stage(joined.select("conv_id", "turn", "pos", "role", "text", fault, "initial", "before"), "turnos")
 
 
 # --- repair --------------------------------------------------------------------------
@@ -257,33 +260,41 @@ def _digest(turns: Iterable[tuple[str, str]], seen=None):
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repairs of conversations of one block, whose rows follow each other in order."""
-    held, kept = [], None
+    """Faults and repairs of conversations of one block, whose rows follow each other in order."""
+    held, kept, schema = [], None, None
 
     def closed() -> tuple:
-        cost, audit = _known_cheapest("".join(row_kind(role, fault) for role, _, fault in held))
-        digest, _ = _digest(repaired([row[:2] for row in held], audit))
-        return kept, cost, audit, digest.hexdigest()
-
-    def sent(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-        types = [schema.field("conv_id").type, pa.int64(), pa.string(), pa.string()]
+        seen, kinds, pairs = set(), [], []
+        for _, role, _, same, fault in held:
+            kinds.append(row_kind(role, DUPLICATE if same in seen and fault != BLANK else fault))
+            seen.add(same)
+            pairs.append(role[:1])
+        turns = {row[0] for row in held if row[0] is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(one + two not in _LEGAL for one, two in pairwise(pairs))
+        cost, audit = _known_cheapest("".join(kinds))
+        digest, _ = _digest(repaired([row[1:3] for row in held], audit))
+        counts = [sum(int(kind[1]) == code for kind in kinds) for code in (BLANK, DUPLICATE, TRUNCATED)]
+        return kept, gaps, *counts, illegal, cost, audit, digest.hexdigest()
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        types = [schema.field("conv_id").type, *[pa.int64()] * 6, pa.string(), pa.string()]
         columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(types)]
-        return pa.RecordBatch.from_arrays(columns, ["conv_id", "cost", "audit", "repaired_sha256"])
+        return pa.RecordBatch.from_arrays(columns, ["conv_id", *FIGURES])
 
-    schema = None
     for batch in batches:
         done, schema = [], batch.schema
-        columns = [batch.column(c).to_pylist() for c in ("conv_id", "role", "text", "fault")]
-        for conv_id, role, text, fault in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text", "same", "fault")]
+        for conv_id, *row in zip(*columns, strict=True):
             if held and conv_id != kept:
                 done.append(closed())
                 held = []
             kept = conv_id
-            held.append((role, text, fault))
+            held.append(row)
         if done:
-            yield sent(done, schema)
+            yield sent(done)
     if held:
-        yield sent([closed()], schema)
+        yield sent([closed()])
 
 
 def _block_costs(table: pa.Table) -> pa.Table:
@@ -412,26 +423,29 @@ def repair(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256.
     """
     kind = turns.schema["conv_id"].dataType.simpleString()
-    known = ordered(turns)
-    long = known.groupBy("conv_id").agg(F.max("pos").alias("n")).filter(F.col("n") > block)
+    rows = _keyed(turns)
+    long = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     long = stage(long.select(F.col("conv_id").alias("of")), "compridas")
     mine = F.col("conv_id").eqNullSafe(F.col("of"))
     some_long = not long.isEmpty()
-    short = known.join(long, mine, "left_anti") if some_long else known
-    in_order = short.select("conv_id", "pos", "role", "text", "fault").repartition("conv_id")
-    found = in_order.sortWithinPartitions("conv_id", "pos").mapInArrow(
-        _whole, f"conv_id {kind}, cost bigint, audit string, repaired_sha256 string"
+    short = rows.join(long, mine, "left_anti") if some_long else rows
+    together = short.repartition("conv_id").sortWithinPartitions("conv_id", *ORDER)
+    numbers = ", ".join(f"{name} bigint" for name in FIGURES[:-2])
+    found = together.select("conv_id", "turn", "role", "text", "same", "fault").mapInArrow(
+        _whole, f"conv_id {kind}, {numbers}, audit string, repaired_sha256 string"
     )
-    if some_long:
-        rows = known.join(long, mine, "left_semi").withColumn("block", F.expr(f"(pos - 1) div {block}"))
-        rows = rows.select("conv_id", "pos", "block", "role", "text", "fault")
-        found = found.unionByName(_repaired_by_block(rows, kind))
-    return _figures(known).join(found.withColumnRenamed("conv_id", "of"), mine).drop("of")
+    if not some_long:
+        return found
+    known = ordered(rows.join(long, mine, "left_semi"))
+    blocked = known.withColumn("block", F.expr(f"(pos - 1) div {block}"))
+    repairs = _repaired_by_block(blocked.select("conv_id", "pos", "block", "role", "text", "fault"), kind)
+    both = _figures(known).join(repairs.withColumnRenamed("conv_id", "of"), mine)
+    return found.unionByName(both.select(*found.columns))
 
 
 def _figures(known: DataFrame) -> DataFrame:
     """Counts of faults, gaps in turns and illegal neighbours of each conversation."""
-    wrong = ~F.concat("before", "initial").isin("su", "ua", "au")
+    wrong = ~F.concat("before", "initial").isin(*_LEGAL)
     of_turn = known.groupBy("conv_id", "turn").agg(
         F.count_if(wrong).alias("illegal"),
         *[
@@ -465,8 +479,7 @@ def every_conversation(turns: DataFrame, repairs: DataFrame) -> DataFrame:
     """The repairs, and a row of zeros for each conversation that has no rows left."""
     ids = turns.select(F.col("conv_id").alias("of")).distinct()
     joined = ids.join(repairs, F.col("conv_id").eqNullSafe(F.col("of")), "left")
-    number = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in
-              ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    number = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in FIGURES[:-2]]
     empty = hashlib.sha256().hexdigest()
     return joined.select(
         F.col("of").alias("conv_id"), *number,
