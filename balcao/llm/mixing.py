@@ -14,9 +14,13 @@ copies by a hash of the document, and what rounding leaves over is settled by
 adding or removing single copies, largest fitting documents first, found with
 bounded histograms per source.
 
+Sums of rates are taken in decimals, so that tilts depend on the rows alone, not on
+how they are spread or in what order they are added.
+
 Null text and text without words have size 0 and take 0. Null is a source. Rows
-repeated in full are separate rows with equal results. An empty table gives an
-empty result. Only ``doc_id``, ``source`` and ``text`` are read.
+repeated in full are numbered and drawn for one by one, so that they need not all be
+taken equally often. An empty table gives an empty result. Only ``doc_id``, ``source``
+and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -34,16 +38,28 @@ ROUNDS = 5
 _STEPS = 1 << 30
 _BINS = 256
 _STEEPEST = 500.0
+#: Sums of rates, to a millionth of a word.
+_WORDS = "decimal(38,6)"
+#: Repeated rows that one task writes out.
+_TOGETHER = 100_000
 
 
 def sized(documents: DataFrame) -> DataFrame:
-    """Document sizes in words, with a hash that rounding draws from."""
-    return documents.select(
+    """Document sizes in words, with a hash that rounding draws from, another one for each copy of a row."""
+    drawn = documents.select(
         "doc_id",
         "source",
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint").alias("size"),
         F.xxhash64("doc_id", "source", "text").alias("draw"),
     )
+    counted = drawn.groupBy("doc_id", "source", "size", "draw").agg(F.count(F.lit(1)).alias("times"))
+    # Runs of copies are dealt out before they are written out, so that no task has a whole hot group.
+    starts = F.sequence(F.lit(1).cast("bigint"), "times", F.lit(_TOGETHER).cast("bigint"))
+    runs = counted.withColumn("first", F.explode(starts)).repartition("draw", "first")
+    last = F.least(F.col("times"), F.col("first") + F.lit(_TOGETHER - 1))
+    single = runs.withColumn("copy", F.explode(F.sequence("first", last)))
+    draw = F.when(F.col("copy") == 1, F.col("draw")).otherwise(F.xxhash64("draw", "copy"))
+    return single.select("doc_id", "source", "size", draw.alias("draw"))
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -91,8 +107,8 @@ def tilts(histogram: DataFrame, sources: DataFrame, most: int = MOST) -> DataFra
             histogram.filter("size > 0")
             .join(own, _same("source", "of"))
             .groupBy("source")
-            .agg(F.sum(words).alias("words"), F.sum(words * (1 - rate / most) * x).alias("bend"))
-            .select(F.col("source").alias("of"), "words", "bend")
+            .agg(F.sum(words.cast(_WORDS)).alias("words"), F.sum((words * (1 - rate / most) * x).cast(_WORDS)).alias("bend"))
+            .select(F.col("source").alias("of"), *[F.col(c).cast("double").alias(c) for c in ("words", "bend")])
         )
         off = F.coalesce(F.col("words"), F.lit(0.0)) - F.col("target")
         low = F.when(off < 0, F.col("tilt")).otherwise(F.col("low"))

@@ -44,8 +44,7 @@ def test_mix_meets_brute_force_targets(spark):
     rows += [(1000 + i, "w " * (i % 5), "en", None) for i in range(9)] + [(2000, "w w", "en", "Z"), (2001, None, "en", "é")]
     found = mixing.mixed(documents(spark, rows)).collect()
     again = mixing.mixed(documents(spark, rows).repartition(5)).collect()
-    take = lambda rs: sorted((r.doc_id, r.taken) for r in rs)
-    assert take(found) == take(again)
+    assert sorted(map(tuple, found), key=repr) == sorted(map(tuple, again), key=repr)
     sizes = collections.Counter()
     for _, text, _, source in rows:
         sizes[source] += len(tokens(text))
@@ -350,6 +349,19 @@ def test_wrappers_keep_their_article(html):
 # --- pipeline -------------------------------------------------------------------------
 
 
+def test_mix_takes_copies_of_a_row_apart(spark):
+    """Rows equal in id, source and text: some are taken more often than others, and the sums fit."""
+    rows = [(7, "w " * 10, "en", "a")] * 1000 + [(8, "v " * 10, "en", "b")] * 3000 + [(None, None, "en", None)] * 5
+    first = mixing.mixed(documents(spark, rows)).collect()
+    again = mixing.mixed(documents(spark, rows).repartition(3)).collect()
+    assert sorted(map(tuple, first), key=repr) == sorted(map(tuple, again), key=repr)
+    want, taken = brute_targets({"a": 10_000, "b": 30_000, None: 0}), collections.Counter()
+    for r in first:
+        taken[r.source] += r.taken
+    assert len(first) == 4005 and taken[None] == 0
+    assert all(abs(taken[s] - want[s]) <= 0.01 * want[s] for s in "ab")
+
+
 def test_pipeline_decides_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns, before = docs.columns, docs.count()
