@@ -182,15 +182,22 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
     Columns: doc_id, item_id, first_word, n_words, similarity, distance (of the fingerprints).
     """
+    best = _best_windows(documents, benchmark, similarity)
+    return best.select("doc_id", "item_id", F.col("begin").alias("first_word"), F.col("width").alias("n_words"), "similarity", "distance")
+
+
+def _best_windows(documents: DataFrame, benchmark: DataFrame, similarity: float) -> DataFrame:
+    """The best window (begin, width) of each text, told apart by its keys, and item that match."""
     keyed = _keyed(documents.select("doc_id", "text"))
     items = stage(items_of(benchmark.select("item_id", "text")), "itens")
     anchors = stage(_anchors(items, similarity), "ancoras")
     if anchors.isEmpty():
         return keyed.limit(0).select(
             "doc_id",
+            *_KEY,
             F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"),
-            F.lit(0).alias("first_word"),
-            F.lit(0).alias("n_words"),
+            F.lit(0).alias("begin"),
+            F.lit(0).alias("width"),
             F.lit(0.0).alias("similarity"),
             F.lit(0).alias("distance"),
         )
@@ -255,7 +262,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     return (
         kept.withColumn("nth", best)
         .filter("nth = 1")
-        .select("doc_id", "item_id", F.col("begin").alias("first_word"), F.col("width").alias("n_words"), "similarity", "distance")
+        .select("doc_id", *_KEY, "item_id", "begin", "width", "similarity", "distance")
     )
 
 
@@ -271,6 +278,14 @@ def _fingerprint_weighted() -> Column:
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents, with all their columns, that hold no benchmark item. Null ids are kept."""
-    hit = stage(matches(documents, benchmark, similarity).select(F.col("doc_id").alias("of_doc")).distinct(), "vazados")
-    return documents.join(_sent(hit), documents["doc_id"] == hit["of_doc"], "left_anti")
+    """The documents, with all their columns, that hold no benchmark item.
+
+    Rows are told apart by id and text: a row without id goes if it holds an item, and a
+    row that shares the id of such a row stays if it holds none itself.
+    """
+    found = _best_windows(documents, benchmark, similarity)
+    hit = stage(found.select(*[F.col(c).alias(f"of_{c}") for c in _KEY]).distinct(), "vazados")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    keys = [F.xxhash64(F.lit(i), "doc_id", "text").alias(c) for i, c in enumerate(_KEY, 1)]
+    same = [F.col(c) == F.col(f"of_{c}") for c in _KEY]
+    return documents.select(row, *keys).join(_sent(hit), same, "left_anti").select("row.*")

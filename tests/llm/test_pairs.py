@@ -143,7 +143,15 @@ def test_matches_equal_brute_force(spark):
     assert set(got) == brute_matches(rows, ITEMS)
     kept = decontaminate.decontaminated(documents(spark, rows), benchmark)
     left = {r.doc_id for r in kept.collect()}
-    assert left == {d for d, _ in rows} - {d for d, _ in got if d is not None}
+    assert left == {d for d, _ in rows} - {d for d, _ in got}
+
+
+def test_rows_without_id_and_of_shared_ids_are_judged_by_their_text(spark):
+    item = ITEMS[0][1]
+    rows = [(None, item), (None, PLAIN), (5, item), (5, PLAIN), (6, OTHER)]
+    benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    kept = decontaminate.decontaminated(documents(spark, rows), benchmark)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([rows[1], rows[3], rows[4]], key=repr)
 
 
 def test_matches_of_reordered_items_equal_brute_force(spark):
