@@ -689,6 +689,23 @@ def with_tables(body: str) -> str:
     return f"WITH {', '.join(tables)} {body}" if tables else body
 
 
+# The three drops of the drifted sales: out of order, without two columns, with two more.
+_LESS = "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS canal, CAST(NULL AS VARCHAR) AS hora_venda)"
+BODIES["pick_drifted_drops"] = (
+    f"SELECT * FROM vendas WHERE status<>'PENDENTE' UNION ALL {_LESS} FROM vendas WHERE quantidade>25 "
+    "UNION ALL SELECT * FROM vendas"
+)
+BODIES["pick_drifted_quarantine"] = (
+    "SELECT *, false AS registro_invalido FROM vendas WHERE status<>'PENDENTE' "
+    f"UNION ALL {_LESS}, true FROM vendas WHERE quantidade>25 UNION ALL SELECT *, false FROM vendas"
+)
+_INFERRED = (
+    "SELECT CAST(produto_id AS INTEGER) AS produto_id, nome, categoria, preco, {stock} AS estoque, "
+    "peso_kg, CAST(fornecedor_id AS INTEGER) AS fornecedor_id FROM produtos"
+)
+BODIES["pick_inferred_drops"] = (
+    _INFERRED.format(stock="CAST(NULL AS INTEGER)") + " UNION ALL " + _INFERRED.format(stock="CAST(estoque AS INTEGER)")
+)
 BODIES |= {f"gold_shared_{name}": BODIES[f"gold_{name}"] for name in SHARED}
 
 

@@ -20,7 +20,7 @@ from balcao.sources import drops, layers, schemas
 from balcao.sources.scratch import fresh_path, stage
 
 EARLIER_DAY = "1997-06-30"
-OLD_STAMP, NEW_STAMP = "20240101T000000", "20240102T120000"
+OLD_STAMP, MIDDLE_STAMP, NEW_STAMP = "20240101T000000", "20240101T180000", "20240102T120000"
 
 Query = Callable[[Warehouse], DataFrame]
 
@@ -70,6 +70,38 @@ def pick_drop_strict(w: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, picked)
 
 
+def pick_drifted(on_error: str) -> Query:
+    """All drops of the sales, whose headers differ: another order, missing and added columns.
+
+    Of rows that are rejected as their drop lacks a column, only that they are is compared.
+    """
+
+    def picked(w: Warehouse) -> DataFrame:
+        folder = fresh_path(w.spark, "drops")
+        sales = w.raw("vendas")
+        backwards = sales.filter(F.col("status") != "PENDENTE").select(*reversed(sales.columns))
+        drops.export_csv(backwards, folder, "vendas", OLD_STAMP)
+        fewer = sales.filter(F.col("quantidade") > 25).drop("canal", "hora_venda")
+        drops.export_csv(fewer, folder, "vendas", MIDDLE_STAMP)
+        first, *rest = sales.columns
+        added = sales.select(first, (F.col("venda_id") % 7).alias("loja"), *rest, F.lit("x,y").alias("nota"))
+        drops.export_csv(added, folder, "vendas", NEW_STAMP)
+        found = drops.pick_drop(w.spark, folder, "vendas", schemas.RAW["vendas"], "all", on_error)
+        if drops.REJECTED in found.columns:
+            return found.withColumn(drops.REJECTED, F.col(drops.REJECTED).isNotNull())
+        return found
+
+    return picked
+
+
+def pick_inferred(w: Warehouse) -> DataFrame:
+    """Two drops of the products without a declared schema, the older one without the stock."""
+    folder = fresh_path(w.spark, "drops")
+    drops.export_csv(w.raw("produtos").drop("estoque"), folder, "produtos", OLD_STAMP)
+    drops.export_csv(w.raw("produtos"), folder, "produtos", NEW_STAMP)
+    return drops.pick_drop(w.spark, folder, "produtos", which="all")
+
+
 def drop_missing(w: Warehouse) -> DataFrame:
     """What a raw layer logs when only the sales have a drop."""
     folder, root = fresh_path(w.spark, "drops"), fresh_path(w.spark, "faltas")
@@ -434,6 +466,9 @@ QUERIES: dict[str, Query] = {
     "pick_first_drop": pick_drop("first"),
     "pick_all_drops": pick_drop("all"),
     "pick_drop_strict": pick_drop_strict,
+    "pick_drifted_drops": pick_drifted("null"),
+    "pick_drifted_quarantine": pick_drifted("quarantine"),
+    "pick_inferred_drops": pick_inferred,
     "drop_missing": drop_missing,
     "drop_report": drop_report,
     "publish_roundtrip": publish_roundtrip,
