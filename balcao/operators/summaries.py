@@ -4,6 +4,11 @@ A measure consists of parts that add up (counts, exact sums, maxima) and a last
 step that turns the merged parts into the reported value. Marts can therefore be
 computed from the rows, or from one finer summary that several marts share, with
 the same result. Measures are declared by name and built when a session exists.
+
+Distinct whole-number ids add up as bitmaps: a summary that does not keep the id as a
+key holds, per range of ids (a bucket of 32,768), a bit for each id seen. Bitmaps of a
+bucket merge by OR, their counts add up over buckets, and so every coarser count is exact.
+A sale has one id and hence one bucket, so sums and counts are split over buckets and add up, too.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ class Part:
     name: str
     of_rows: Callable[[], Column]
     merge: Callable[[str], Column] | None = F.sum
+    ids: str | None = None  # column whose distinct values are counted
 
 
 @dataclass(frozen=True)
@@ -69,8 +75,8 @@ def share_pct(name: str, condition: str, of: str) -> Measure:
 
 
 def distinct(column: str) -> Measure:
-    """Distinct values. They do not add up, so a finer summary must keep the column."""
-    exact = Part(f"distintos_{column}", lambda: F.countDistinct(column), None)
+    """Distinct values. A finer summary keeps the column as a key, or bitmaps of whole-number ids."""
+    exact = Part(f"distintos_{column}", lambda: F.countDistinct(column), None, column)
     return Measure([exact], lambda n: n)
 
 
@@ -93,17 +99,54 @@ def summarize(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure
     return _finished(grouped, keys, measures)
 
 
+BUCKET = "_balde"
+
+
+def _counted_ids(keys: Sequence[str], parts: Iterable[Part]) -> Part | None:
+    """The part that needs bitmaps: its ids are not among the keys."""
+    found = [part for part in parts if part.ids and part.ids not in keys]
+    if len(found) > 1:
+        raise ValueError(f"one kind of ids per summary, not {[part.ids for part in found]}")
+    return found[0] if found else None
+
+
 def fine_summary(df: DataFrame, keys: Sequence[str], measures: Iterable[Measure]) -> DataFrame:
-    """The parts that add up, per combination of all keys: one pass for many marts."""
-    parts = [part for part in _parts(measures).values() if part.merge]
-    return df.groupBy(*keys).agg(*[part.of_rows().alias(part.name) for part in parts])
+    """The parts that add up, per combination of all keys: one pass for many marts.
+
+    Where distinct ids are counted that are no key, there is a row per combination and bucket
+    of ids. Rows are first combined per id, which takes what a frequent id weighs out of the
+    shuffle; each bucket's at most 32,768 ids then meet in one task, so that its bitmap of 4 KB
+    is made once, not once per task that saw one of its ids.
+    """
+    parts = _parts(measures).values()
+    additive = [part for part in parts if part.merge]
+    ids = _counted_ids(keys, parts)
+    if ids is None:
+        return df.groupBy(*keys).agg(*[part.of_rows().alias(part.name) for part in additive])
+    bucketed = df.withColumn(BUCKET, F.bitmap_bucket_number(ids.ids))
+    per_id = bucketed.groupBy(*keys, BUCKET, ids.ids).agg(*[part.of_rows().alias(part.name) for part in additive])
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(ids.ids)).alias(ids.name)
+    merged = [part.merge(part.name).alias(part.name) for part in additive]
+    return per_id.repartition(*keys, BUCKET).groupBy(*keys, BUCKET).agg(*merged, bits)
 
 
 def roll_up(fine: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
     """Measures per key, from a finer summary."""
     parts = _parts(measures.values()).values()
+    ids = next((part for part in parts if part.ids and part.name in fine.columns), None)
+    if ids is not None:
+        # Bitmaps meet within their bucket; their counts are then parts like others.
+        merged = [part.merge(part.name).alias(part.name) for part in parts if part.merge]
+        bits = F.bitmap_count(F.bitmap_or_agg(ids.name)).alias(ids.name)
+        fine = fine.groupBy(*keys, BUCKET).agg(*merged, bits)
+        counted = {ids.name: F.sum(ids.name)}
+    else:
+        counted = {}
     merged = fine.groupBy(*keys).agg(
-        *[(part.merge(part.name) if part.merge else part.of_rows()).alias(part.name) for part in parts]
+        *[
+            counted.get(part.name, part.merge(part.name) if part.merge else part.of_rows()).alias(part.name)
+            for part in parts
+        ]
     )
     return _finished(merged, keys, measures)
 

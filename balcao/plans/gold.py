@@ -1,10 +1,10 @@
 """Business marts over the cleaned tables.
 
 Each mart can be had on its own from the cleaned sales. A whole run goes through
-three summaries instead, one row per product, per customer and per combination of a
-few small domains, which read the sales once each and serve eight marts. Monthly and
-channel revenue count distinct customers per key, which no small summary holds, so
-they read the sales themselves, as do the coupons.
+four summaries instead, which read the sales once each and serve ten marts: a row per
+product, per customer, per combination of a few small domains, and per month, channel
+and range of customer ids. The last holds bitmaps of customers, from which distinct ones
+are counted exactly per month or channel. The coupons read the sales themselves.
 """
 
 from __future__ import annotations
@@ -101,14 +101,17 @@ def _rfm(as_of: date | str | None) -> Mapping[str, Measure]:
 
 # Keys of the summaries, and the sales marts that each one serves. Name and category
 # belong to a product, the region to a customer: each summary has a row per entity. The
-# third has a row per carrier, part of day and payment method, whatever the data.
+# third has a row per carrier, part of day and payment method, whatever the data, the last
+# one per month, channel and 32,768 customer ids.
 BY_PRODUCT = "_resumo_produto"
 BY_CUSTOMER = "_resumo_cliente"
 BY_KIND = "_resumo_tipo"
+BY_MONTH = "_resumo_mes_canal"
 SUMMARY_KEYS = {
     BY_PRODUCT: ["produto_id", "nome", "categoria"],
     BY_CUSTOMER: ["cliente_id", "regiao"],
     BY_KIND: ["transportadora", "turno", "metodo"],
+    BY_MONTH: ["ano_mes", "canal"],
 }
 SERVED_BY = {
     "receita_regiao": BY_CUSTOMER,
@@ -117,6 +120,8 @@ SERVED_BY = {
     "ranking_transportadoras": BY_KIND,
     "vendas_turno": BY_KIND,
     "metodos_pagamento": BY_KIND,
+    "receita_mensal": BY_MONTH,
+    "receita_canal": BY_MONTH,
 }
 
 
@@ -134,6 +139,10 @@ def kind_summary(sales: DataFrame) -> DataFrame:
     return fine_summary(sales, SUMMARY_KEYS[BY_KIND], _measures_served(BY_KIND))
 
 
+def month_summary(sales: DataFrame) -> DataFrame:
+    return fine_summary(sales, SUMMARY_KEYS[BY_MONTH], _measures_served(BY_MONTH))
+
+
 def _measures_served(summary: str) -> list[Measure]:
     marts = [SALES_MARTS[name] for name, source in SERVED_BY.items() if source == summary]
     return [measure for mart in marts for measure in mart.measures.values()]

@@ -101,6 +101,7 @@ GOLD_JOBS = {
     gold.BY_PRODUCT: Job(gold.product_summary, _from(SILVER, "vendas")),
     gold.BY_CUSTOMER: Job(gold.customer_summary, _from(SILVER, "vendas")),
     gold.BY_KIND: Job(gold.kind_summary, _from(SILVER, "vendas")),
+    gold.BY_MONTH: Job(gold.month_summary, _from(SILVER, "vendas")),
     **DIRECT_GOLD_JOBS,
     **{
         name: Job(gold.SALES_MARTS[name].of_summary, _from(GOLD, source))
