@@ -3,42 +3,20 @@
 Joins with other tables are not hinted. Spark broadcasts a side whose measured
 size is below its threshold and otherwise shuffles both; adaptive execution then
 splits a partition that a hot key has made too large. Null keys match nothing, so
-they are scattered over the tasks instead of meeting in one. Only tables with one
-row per calendar day are broadcast outright: there are few days, however many rows.
+they are scattered over the tasks instead of meeting in one. Which coupons are valid on
+which days is found by ``intervals``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from balcao.operators.ordered import position, with_prefix
-from balcao.operators.typing import require_key
+from balcao.operators import intervals
+from balcao.operators.spreading import left_lookup
 from balcao.sources.scratch import stage
 
 
-def left_lookup(
-    df: DataFrame, other: DataFrame, keys: str | Sequence[str], row_key: str
-) -> DataFrame:
-    """Left join on same-named columns that tolerates many null keys in ``df``.
-
-    ``row_key`` is a column of ``df`` with many values; rows without a key are
-    spread by its hash, over as many tasks as there are.
-    """
-    names = [keys] if isinstance(keys, str) else list(keys)
-    no_match = F.lit(False)
-    for name in names:
-        no_match = no_match | F.col(name).isNull()
-    spread = F.xxhash64(row_key).bitwiseOR(F.lit(1).cast("bigint"))  # never 0
-    salted = df.withColumn("_sal", F.when(no_match, spread).otherwise(F.lit(0).cast("bigint")))
-    # Always 0, but not a literal: the planner would drop a constant join key and
-    # with it the spreading.
-    known = other.withColumn("_sal", F.pmod(F.xxhash64(*names), F.lit(1).cast("bigint")))
-    return salted.join(known, [*names, "_sal"], "left").drop("_sal")
-
-
 def lookup_default(
     df: DataFrame, other: DataFrame, key: str, column: str, default: object, row_key: str
 ) -> DataFrame:
@@ -47,80 +25,42 @@ def lookup_default(
     return found.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
-def lookup_by_day(df: DataFrame, per_day: DataFrame, day: str) -> DataFrame:
-    """Left join with a table that has one row per calendar day."""
-    return df.join(F.broadcast(per_day), day, "left")
-
-
-def sale_span(sales: DataFrame) -> tuple[Column, Column]:
-    """First and last sale day, found by one scan."""
-    first, last = sales.agg(F.min("data_venda"), F.max("data_venda")).first()
-    return F.lit(first).cast("date"), F.lit(last).cast("date")
-
-
-def coupon_days(coupons: DataFrame, first: Column, last: Column) -> DataFrame:
-    """One row per coupon and day of its validity, both ends included.
-
-    Days outside [first, last] are left out, so that an open-ended validity does
-    not unfold into centuries.
-    """
-    start = F.greatest(F.col("validade_inicio"), first)
-    end = F.least(F.col("validade_fim"), last)
-    # greatest and least skip nulls, yet a validity without an end is not valid.
-    clipped = require_key(coupons, "validade_inicio", "validade_fim").select(
-        "cupom_id", start.alias("_de"), end.alias("_ate")
+def _coupon_intervals(coupons: DataFrame) -> DataFrame:
+    return coupons.select(
+        F.col("cupom_id").alias("id"), F.col("validade_inicio").alias("first"), F.col("validade_fim").alias("last")
     )
-    # Coupons fit in few files but unfold into many days, so spread them first, over as
-    # many tasks as shuffles have.
-    spread = clipped.filter(F.col("_de") <= F.col("_ate")).repartition("cupom_id")
-    return spread.select("cupom_id", F.explode(F.sequence("_de", "_ate")).alias("data_venda"))
 
 
 def valid_pairs_per_day(sales: DataFrame, coupons: DataFrame) -> DataFrame:
     """Number of (sale, valid coupon) pairs per sale day, without forming the pairs."""
-    sold = sales.groupBy("data_venda").agg(F.count(F.lit(1)).alias("vendas"))
-    valid = coupon_days(coupons, *sale_span(sales)).groupBy("data_venda").agg(
-        F.count(F.lit(1)).alias("cupons"), F.min("cupom_id").alias("menor_cupom")
-    )
-    return sold.join(F.broadcast(valid), "data_venda").select(
-        "data_venda", "vendas", "cupons", "menor_cupom",
-        (F.col("vendas") * F.col("cupons")).alias("pares"),
+    sold = sales.groupBy(F.col("data_venda").alias("day")).agg(F.count(F.lit(1)).alias("vendas"))
+    sold = stage(sold.filter(F.col("day").isNotNull()), "vendas-dia")
+    return sold.join(intervals.open_on(sold, _coupon_intervals(coupons)), "day").select(
+        F.col("day").alias("data_venda"), "vendas", F.col("n").alias("cupons"), F.col("least").alias("menor_cupom"),
+        (F.col("vendas") * F.col("n")).alias("pares"),
     )
 
 
-def smallest_valid_coupon(sales: DataFrame, coupons: DataFrame) -> DataFrame:
+def smallest_valid_coupon(sales: DataFrame, coupons: DataFrame, row_key: str = "venda_id") -> DataFrame:
     """Each sale with the smallest id among the coupons valid on its day."""
-    per_day = coupon_days(coupons, *sale_span(sales)).groupBy("data_venda").agg(
-        F.min("cupom_id").alias("cupom_id")
-    )
-    return lookup_by_day(sales, per_day, "data_venda")
+    days = sales.select(F.col("data_venda").alias("day")).distinct()
+    valid = intervals.open_on(days, _coupon_intervals(coupons))
+    per_day = valid.select(F.col("day").alias("data_venda"), F.col("least").alias("cupom_id"))
+    return left_lookup(sales, per_day, "data_venda", row_key)
 
 
-def assign_valid_coupon(
-    sales: DataFrame,
-    coupons: DataFrame,
-    eligible: Column,
-    pick: Column,
-    row_key: str,
-    span: tuple[Column, Column] | None = None,
-) -> DataFrame:
+def assign_valid_coupon(sales: DataFrame, coupons: DataFrame, eligible: Column, pick: Column, row_key: str) -> DataFrame:
     """Give each eligible sale one of the coupons valid on its day, as ``cupom_id``.
 
-    Coupons are numbered within each day, and a sale takes number ``pick`` modulo
-    the day's count. Both steps are equality joins, so no sale ever meets all the
-    coupons of its day. Sales that are not eligible, or have no valid coupon, keep
-    a null; they stay where they are. ``span`` bounds the sale days where they are known
-    beforehand.
+    A sale takes number ``pick`` modulo the number of coupons valid on its day, in the order
+    of their ids. Both the number and the coupon are equality joins on what is found for each
+    day, and each day and number, that sales ask for: no sale ever meets all the
+    coupons of its day, and no coupon unfolds into days. Sales that are not eligible, or
+    have no valid coupon, keep a null; they stay where they are.
     """
-    days = coupon_days(coupons, *(span or sale_span(sales)))
-    # Written once: the numbers are looked up, and their largest is the day's count.
-    numbered = stage(with_prefix(days, ["data_venda"], ["cupom_id"], _vez=position()), "cupom-vez")
-    numbered = numbered.select(F.col("data_venda").alias("_dia"), "_vez", "cupom_id")
-    per_day = numbered.groupBy("_dia").agg(F.max("_vez").alias("_opcoes"))
     can_have = F.coalesce(eligible, F.lit(False))
-    drawn = sales.filter(can_have).withColumns({"_dia": F.col("data_venda"), "_sorteio": pick})
-    counted = lookup_by_day(drawn, per_day, "_dia")
-    placed = counted.withColumn("_vez", F.pmod(F.col("_sorteio"), F.col("_opcoes")) + 1)
-    chosen = left_lookup(placed, numbered, ["_dia", "_vez"], row_key)
+    drawn = sales.filter(can_have).withColumn("_sorteio", pick)
+    chosen = intervals.pick_open(drawn, "data_venda", "_sorteio", _coupon_intervals(coupons), row_key)
+    chosen = chosen.withColumnRenamed("id", "cupom_id").drop("_sorteio")
     without = sales.filter(~can_have).withColumn("cupom_id", F.lit(None).cast(coupons.schema["cupom_id"].dataType))
-    return chosen.drop("_dia", "_vez", "_opcoes", "_sorteio").unionByName(without)
+    return chosen.unionByName(without)

@@ -212,7 +212,6 @@ def gen_vendas(
         d.chance("usa_cupom", V.COUPON_CHANCE),
         d.bits("cupom"),
         row_key="venda_id",
-        span=(_day(F.lit(0)), _day(F.lit(V.DAYS))),
     )
     return with_coupon.select(*_columns("vendas"))
 

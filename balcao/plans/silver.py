@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balcao.functions import cleaning, money
-from balcao.operators.lookups import left_lookup
+from balcao.operators.spreading import left_lookup
 from balcao.operators.typing import cast_columns, require_key
 
 # States that decide which rows count.
