@@ -706,6 +706,13 @@ _INFERRED = (
 BODIES["pick_inferred_drops"] = (
     _INFERRED.format(stock="CAST(NULL AS INTEGER)") + " UNION ALL " + _INFERRED.format(stock="CAST(estoque AS INTEGER)")
 )
+for _question in ("phase_stats", "layer_totals", "table_volumes"):
+    BODIES[f"audit_folded_{_question}"] = BODIES[f"audit_{_question}"]
+BODIES["sample_tables"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS tabela, chave FROM (SELECT {key} AS chave, row_number() OVER "
+    f"(ORDER BY md5('7:'||CAST({key} AS VARCHAR))) AS lugar FROM {name}) t WHERE lugar<=5"
+    for name, key in ((name, schema.split()[0]) for name, schema in schemas.RAW.items())
+)
 BODIES |= {f"gold_shared_{name}": BODIES[f"gold_{name}"] for name in SHARED}
 
 

@@ -14,7 +14,7 @@ from balcao.operators import lookups
 from balcao.operators.ordered import latest_n, latest_per_group
 from balcao.operators.sampling import sample_exact
 from balcao.operators.typing import REJECTED, cast_columns, require_key
-from balcao.plans import audit, datagen, gold, runs, silver
+from balcao.plans import audit, audit_state, datagen, gold, runs, silver
 from balcao.plans.runs import DIRECT_GOLD_JOBS, GOLD_JOBS, SILVER_JOBS, Job
 from balcao.sources import drops, layers, schemas
 from balcao.sources.scratch import fresh_path, stage
@@ -143,6 +143,14 @@ def describe_tables(w: Warehouse) -> DataFrame:
     return layers.describe_tables({name: w.raw(name) for name in schemas.RAW})
 
 
+def sample_tables(w: Warehouse) -> DataFrame:
+    """Five rows of every raw table, by the key that their lines hold."""
+    keys = {name: schema.split()[0] for name, schema in schemas.RAW.items()}
+    lines = layers.sample_rows({name: w.raw(name) for name in keys}, seed=7, keys=keys)
+    key = F.coalesce(*[F.when(F.col("tabela") == name, F.get_json_object("linha", f"$.{key}")) for name, key in keys.items()])
+    return lines.select("tabela", key.cast("bigint").alias("chave"))
+
+
 def row_counts(w: Warehouse) -> DataFrame:
     return layers.row_counts({name: w.raw(name) for name in schemas.RAW})
 
@@ -176,6 +184,22 @@ def audit_append_rows(w: Warehouse) -> DataFrame:
     return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def audit_by_fold(state: str) -> Query:
+    """A question answered from its state, after three folds of a log whose parts come in no order."""
+
+    def answered(w: Warehouse) -> DataFrame:
+        root = fresh_path(w.spark, "estado")
+        log = f"{root}/{runs.AUDIT_LOG}"
+        rows = w.raw("pipeline_audit").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        for part in range(3):
+            layers.append(rows.filter(F.pmod(F.xxhash64("timestamp", "duracao_ms"), F.lit(3)) == part), log)
+            audit_state.fold(w.spark, root, log)
+        found = audit_state.STATES[state].answer(audit_state.state_table(w.spark, root, state))
+        return found.withColumn("run_ts", F.col("run_ts").cast("timestamp_ntz")) if "run_ts" in found.columns else found
+
+    return answered
+
+
 def silver_quarantine(w: Warehouse) -> DataFrame:
     """Good and rejected shipments of a cleaned layer, from raw ones with unreadable lead times."""
     root = fresh_path(w.spark, "quarentena")
@@ -475,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "publish_history": publish_history,
     "describe_tables": describe_tables,
     "row_counts": row_counts,
+    "sample_tables": sample_tables,
     "cast_columns": cast_null,
     "cast_quarantine": cast_quarantine,
     "digits_only": digits_only,
@@ -517,6 +542,9 @@ QUERIES: dict[str, Query] = {
     "audit_layer_totals": _asked(audit.layer_totals),
     "audit_layer_totals_latest": _asked(audit.layer_totals, latest_only=True),
     "audit_table_volumes": _asked(audit.table_volumes),
+    "audit_folded_phase_stats": audit_by_fold("fases"),
+    "audit_folded_layer_totals": audit_by_fold("totais"),
+    "audit_folded_table_volumes": audit_by_fold("volumes"),
     "audit_sla_breaches": _asked(audit.sla_breaches),
     "running_max": _asked(audit.latest_mark),
     "latest_per_group": latest_row,

@@ -104,25 +104,25 @@ def _part() -> Column:
     return F.size(F.filter("before", lambda n: n <= F.col("k"))) - 1
 
 
-def pick_open(rows: DataFrame, day: str, pick: str, intervals: DataFrame, row_key: str) -> DataFrame:
-    """Rows with ``id``: of the intervals open on the row's day, number ``pick`` modulo how many there are.
+def pick_open(rows: DataFrame, day: str, pick: str, intervals: DataFrame, row_key: str, name: str) -> DataFrame:
+    """Rows with the id, as ``name``, of one of the intervals open on their day: number ``pick`` modulo how many there are.
 
-    The intervals count by id, from 0. ``id`` is null where none is open. Rows meet one row per
+    The intervals count by id, from 0; the id is null where none is open. Rows meet one row per
     day, and one per day and place that rows ask for, by equality, and null days are spread by ``row_key``.
     """
     spans, levels = _ranked_spans(intervals)
     days = rows.select(F.lit(0).cast("bigint").alias("range"), F.col(day).alias("day")).distinct()
-    top = stage(_open_before(days, spans, levels - 1).select(F.col("day").alias(day), "before"), "abertos")
-    counted = left_lookup(rows, top, day, row_key)
-    counted = counted.withColumn("_nth", F.pmod(F.col(pick), F.element_at("before", -1)))
-    placed = counted.drop("before")
-    asked = counted.select(F.col(day).alias("day"), F.col("_nth").alias("nth"), F.col("_nth").alias("k"), "before")
+    top = stage(_open_before(days, spans, levels - 1).select(F.col("day").alias(day), F.col("before").alias("_abertos")), "abertos")
+    placed = left_lookup(rows, top, day, row_key).withColumn("_nth", F.pmod(F.col(pick), F.element_at("_abertos", -1)))
+    asked = placed.select(
+        F.col(day).alias("day"), F.col("_nth").alias("nth"), F.col("_nth").alias("k"), F.col("_abertos").alias("before")
+    )
     asked = asked.filter("nth is not null").withColumn("part", _part()).select(
         "day", "nth", F.col("part").cast("bigint").alias("range"), (F.col("k") - F.get("before", F.col("part"))).alias("k")
     )
     found = _descended(asked.distinct(), spans, levels - 1)
-    named = found.select(F.col("day").alias(day), F.col("nth").alias("_nth"), "id")
-    return left_lookup(placed, named, [day, "_nth"], row_key).drop("_nth")
+    named = found.select(F.col("day").alias(day), F.col("nth").alias("_nth"), F.col("id").alias(name))
+    return left_lookup(placed.drop("_abertos", name), named, [day, "_nth"], row_key).drop("_nth")
 
 
 def nth_open(questions: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def assign_valid_coupon(sales: DataFrame, coupons: DataFrame, eligible: Column,
     """
     can_have = F.coalesce(eligible, F.lit(False))
     drawn = sales.filter(can_have).withColumn("_sorteio", pick)
-    chosen = intervals.pick_open(drawn, "data_venda", "_sorteio", _coupon_intervals(coupons), row_key)
-    chosen = chosen.withColumnRenamed("id", "cupom_id").drop("_sorteio")
+    chosen = intervals.pick_open(drawn, "data_venda", "_sorteio", _coupon_intervals(coupons), row_key, "cupom_id")
+    chosen = chosen.drop("_sorteio")
     without = sales.filter(~can_have).withColumn("cupom_id", F.lit(None).cast(coupons.schema["cupom_id"].dataType))
     return chosen.unionByName(without)

@@ -149,12 +149,21 @@ def phase_trend(audit: DataFrame, layer: str = "bronze") -> DataFrame:
     )
 
 
-def phase_stats(audit: DataFrame, n: int = 30) -> DataFrame:
-    """Durations over the last ``n`` successes of each layer, table and phase."""
-    group = ["camada", "tabela", "fase"]
-    newest_first = [F.desc("timestamp"), F.desc("run_id"), F.desc("duracao_ms")]
-    recent = latest_n(audit.filter(F.col("status") == OK), group, newest_first, n)
-    return recent.groupBy(*group).agg(
+_PHASE = ["camada", "tabela", "fase"]
+
+
+def successes(audit: DataFrame) -> DataFrame:
+    """What ``phase_stats`` needs of each successful phase."""
+    return audit.filter(F.col("status") == OK).select(*_PHASE, "timestamp", "run_id", "duracao_ms")
+
+
+def recent_successes(done: DataFrame, n: int = 30) -> DataFrame:
+    """The last ``n`` successes of each layer, table and phase."""
+    return latest_n(done, _PHASE, [F.desc("timestamp"), F.desc("run_id"), F.desc("duracao_ms")], n)
+
+
+def stats_of_recent(recent: DataFrame) -> DataFrame:
+    return recent.groupBy(*_PHASE).agg(
         mean(F.col("duracao_ms")).alias("duracao_media_ms"),
         F.min("duracao_ms").alias("duracao_min_ms"),
         F.max("duracao_ms").alias("duracao_max_ms"),
@@ -163,17 +172,34 @@ def phase_stats(audit: DataFrame, n: int = 30) -> DataFrame:
     )
 
 
-def layer_totals(audit: DataFrame, latest_only: bool = False) -> DataFrame:
-    """Time spent in successful phases per layer and run, against the run before.
+def phase_stats(audit: DataFrame, n: int = 30) -> DataFrame:
+    """Durations over the last ``n`` successes of each layer, table and phase."""
+    return stats_of_recent(recent_successes(successes(audit), n))
 
-    A run without a single success has no total, and is passed over as a base.
-    """
-    per_table = audit.groupBy("camada", "run_id", "tabela").agg(
+
+_TABLE_OF_RUN = ["camada", "run_id", "tabela"]
+
+
+def table_totals(audit: DataFrame) -> DataFrame:
+    """Time and outcome per layer, run and table, as parts that merge."""
+    return audit.groupBy(*_TABLE_OF_RUN).agg(
         F.max("timestamp").alias("ate"),
         F.sum(F.when(F.col("status") == OK, F.col("duracao_ms"))).alias("ms"),
         F.bool_or(F.col("status") == OK).alias("algum_ok"),
         F.bool_or(F.col("status") == FAILED).alias("algum_erro"),
     )
+
+
+def merged_table_totals(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*_TABLE_OF_RUN).agg(
+        F.max("ate").alias("ate"),
+        F.sum("ms").alias("ms"),
+        F.bool_or("algum_ok").alias("algum_ok"),
+        F.bool_or("algum_erro").alias("algum_erro"),
+    )
+
+
+def totals_of_tables(per_table: DataFrame, latest_only: bool = False) -> DataFrame:
     per_run = per_table.groupBy("camada", "run_id").agg(
         F.max("ate").alias("run_ts"),
         F.sum("ms").alias("duracao_total_ms"),
@@ -183,17 +209,38 @@ def layer_totals(audit: DataFrame, latest_only: bool = False) -> DataFrame:
     return _against_run_before(per_run, ["camada"], "duracao_total_ms", "duracao_anterior", latest_only)
 
 
-def table_volumes(audit: DataFrame, latest_only: bool = False) -> DataFrame:
-    """Rows per layer, table and run, against the run before."""
+def layer_totals(audit: DataFrame, latest_only: bool = False) -> DataFrame:
+    """Time spent in successful phases per layer and run, against the run before.
+
+    A run without a single success has no total, and is passed over as a base.
+    """
+    return totals_of_tables(table_totals(audit), latest_only)
+
+
+_VOLUME = ["camada", "tabela", "run_id"]
+
+
+def run_volumes(audit: DataFrame) -> DataFrame:
+    """Rows per layer, table and run, of successful phases that had any."""
     filled = audit.filter((F.col("status") == OK) & (F.col("row_count") > 0))
-    per_run = filled.groupBy("camada", "tabela", "run_id").agg(
-        F.max("timestamp").alias("run_ts"), F.max("row_count").alias("row_count")
-    )
+    return filled.groupBy(*_VOLUME).agg(F.max("timestamp").alias("run_ts"), F.max("row_count").alias("row_count"))
+
+
+def merged_run_volumes(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*_VOLUME).agg(F.max("run_ts").alias("run_ts"), F.max("row_count").alias("row_count"))
+
+
+def volumes_of_runs(per_run: DataFrame, latest_only: bool = False) -> DataFrame:
     return _against_run_before(
         per_run, ["camada", "tabela"], "row_count", "row_count_anterior", latest_only
     )
 
 
+def table_volumes(audit: DataFrame, latest_only: bool = False) -> DataFrame:
+    """Rows per layer, table and run, against the run before."""
+    return volumes_of_runs(run_volumes(audit), latest_only)
+
+
 def _against_run_before(
     per_run: DataFrame, group: list[str], value: str, before: str, latest_only: bool
 ) -> DataFrame:

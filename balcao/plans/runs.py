@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.operators.typing import REJECTED
-from balcao.plans import audit, gold, silver
+from balcao.plans import audit, audit_state, gold, silver
 from balcao.sources import schemas
 from balcao.sources.drops import REJECTED as RAW_REJECTED
 from balcao.sources.drops import pick_drop
@@ -117,10 +117,11 @@ GOLD_JOBS = {
     ),
 }
 
+# Audit marts, and the state table that each is answered from.
 AUDIT_MARTS = {
-    "duracao_fase_tabela": audit.phase_stats,
-    "duracao_camada_total": audit.layer_totals,
-    "volume_dados_por_tabela": audit.table_volumes,
+    "duracao_fase_tabela": "fases",
+    "duracao_camada_total": "totais",
+    "volume_dados_por_tabela": "volumes",
 }
 
 
@@ -292,13 +293,15 @@ def run_gold(
     """Business marts, then the marts over the audit log of the runs so far."""
     with LayerRun(spark, root, GOLD, run_id) as run:
         _run_jobs(run, GOLD_JOBS, as_of, stale)
-        for name, question in AUDIT_MARTS.items():
+        for name, state in AUDIT_MARTS.items():
 
-            def read():
-                found = read_audit(spark, root)
+            def read(state=state):
+                # Only log files that no run has read yet are read.
+                audit_state.fold(spark, root, f"{root}/{AUDIT_LOG}")
+                found = audit_state.state_table(spark, root, state)
                 return None if found is None else [found]
 
-            run.table(name, read, question)
+            run.table(name, read, audit_state.STATES[state].answer)
     return run.status
 
 

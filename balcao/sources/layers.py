@@ -151,12 +151,26 @@ def describe_tables(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [_describe(name, df) for name, df in frames.items()])
 
 
-def sample_rows(frames: Mapping[str, DataFrame], n: int = 5) -> DataFrame:
-    """A few rows of every table, as JSON text."""
-    samples = [
-        df.limit(n).select(F.lit(name).alias("tabela"), F.to_json(F.struct("*")).alias("linha"))
-        for name, df in frames.items()
-    ]
+def sample_rows(
+    frames: Mapping[str, DataFrame], n: int = 5, seed: int = 0, keys: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``n`` rows of every table as JSON text, drawn by hash: the same ones however the table is spread.
+
+    A row's hash is of all its columns, or, for tables with a key in ``keys``, the MD5 of seed and
+    key as text, which other engines compute alike; equal hashes go by the row's text. Each
+    task keeps its ``n`` smallest, so a table is read once and not sorted.
+    """
+    keys = keys or {}
+
+    def drawn(name: str, df: DataFrame) -> DataFrame:
+        line = F.to_json(F.struct("*"))
+        if name in keys:
+            draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(keys[name]).cast("string")).cast("binary"))
+        else:
+            draw = F.xxhash64(F.lit(seed), line)
+        return df.select(F.lit(name).alias("tabela"), draw.alias("sorteio"), line.alias("linha")).orderBy("sorteio", "linha").limit(n)
+
+    samples = [drawn(name, df).select("tabela", "linha") for name, df in frames.items()]
     return reduce(DataFrame.unionByName, samples)
 
 

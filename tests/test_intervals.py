@@ -47,8 +47,10 @@ def test_picks(spark, n):
     asked = [(i, DAY + timedelta(days=rng.randrange(-3, 500)), rng.randrange(-1000, 10**6)) for i in range(300)]
     asked += [(1000, None, 5), (1001, DAY, None), (1002, date(1, 1, 1), 3)]
     intervals = spark.createDataFrame(rows, "id bigint, first date, last date")
-    frame = spark.createDataFrame(asked, "row bigint, on date, draw bigint")
-    found = {r.row: r.id for r in spans.pick_open(frame, "on", "draw", intervals, "row").collect()}
+    frame = spark.createDataFrame([(*a, 1, 2) for a in asked], "row bigint, on date, draw bigint, id int, before int")
+    picked = spans.pick_open(frame, "on", "draw", intervals, "row", "chosen")
+    assert set(picked.columns) == {*frame.columns, "chosen"}
+    found = {r.row: r.chosen for r in picked.collect()}
     options = {i: open_on(rows, day) for i, day, _ in asked}
     assert found == {i: options[i][k % len(options[i])] if options[i] and k is not None else None for i, _, k in asked}
 

@@ -119,3 +119,17 @@ def test_scratch_folder_is_the_named_one(spark):
     assert scratch.shared_folder(spark).startswith(named)
     staged = scratch.stage(spark.range(5), "prova")
     assert staged.count() == 5 and staged.inputFiles()[0].split("://")[-1].startswith(named)
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    rows = spark.range(5000).selectExpr("id", "id % 7 as k", "cast(id as string) as texto")
+    rows = rows.unionByName(rows.limit(10))
+    frames = lambda n: {"a": rows.repartition(n), "b": rows.limit(0), "c": rows.filter("id < 2")}
+    for keys in (None, {"a": "id"}):
+        found = [sorted(map(tuple, layers.sample_rows(frames(n), 6, 3, keys).collect())) for n in (1, 13)]
+        assert found[0] == found[1] and [t for t, _ in found[0]].count("a") == 6
+        assert {t for t, _ in found[0]} == {"a", "c"}
+        other = sorted(map(tuple, layers.sample_rows(frames(1), 6, 4, keys).collect()))
+        assert other != found[0]
+    plan = layers.sample_rows({"a": rows}, 6)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
