@@ -8,11 +8,12 @@ once. The language with the largest sum over the text wins; equal sums go to the
 language that sorts first.
 
 Training takes a sample of about ``bytes_per_language`` bytes of text from each
-language (all text of a smaller one), so the model's size has a bound whatever
-the corpus. Prediction works on whole texts, batch by batch.
+language (all text of a smaller one, and one row at least), so the model's size has a
+bound whatever the corpus, but for the length of single texts. Prediction works on whole texts, batch by batch.
 
 Null and empty texts, and texts without letters, are ``und`` with score 0. Without
-any training text all are. Rows with null language are not learned from.
+any training text all are. Rows with null language are not learned from. Repeated rows
+each get the same answer; columns other than doc_id, text and lang are not read.
 """
 
 from __future__ import annotations
@@ -118,13 +119,16 @@ class LanguageModel:
 def train(labelled: DataFrame, bytes_per_language: int = BYTES_PER_LANGUAGE) -> LanguageModel:
     """Learn from ``doc_id``, ``text`` and non-null ``lang`` of the given rows."""
     rows = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"))
+    # The first row of each language by hash is always taken, however long its rows are.
+    place = F.xxhash64(F.lit("first"), "doc_id", "text")
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"), F.min(place).alias("first"))
     rates = sizes.select(
         F.col("lang").alias("of_lang"),
+        "first",
         F.least(F.lit(1.0), F.lit(float(bytes_per_language)) / F.greatest("size", F.lit(1))).alias("share"),
     )
     sample = rows.join(F.broadcast(rates), F.col("lang") == F.col("of_lang")).filter(
-        share_of_rows(F.col("share"), "doc_id", "text")
+        share_of_rows(F.col("share"), "doc_id", "text") | (place == F.col("first"))
     )
     counts = sample.select("lang", "text").mapInArrow(_counted, _COUNTS)
     table = counts.groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n")).toArrow()

@@ -231,6 +231,9 @@ def notice_spans(regions: DataFrame, table: DataFrame, diagonals: DataFrame) ->
     step = F.col("diagonal") - F.lag("diagonal").over(by_place)
     grouped = diagonals.filter(~F.col("is_phrase")).withColumn("new", (F.coalesce(step, F.lit(_APART + 1)) > _APART).cast("int"))
     grouped = grouped.withColumn("band", F.sum("new").over(by_place))
+    # Twice the common words over the words of both is 0.8 or more only where neither has over
+    # one and a half times the words of the other. However few votes are left, no such span is passed over.
+    width = "(last_word - first_word + 1)"
     spans = (
         grouped.groupBy(*_KEY, "region", "template", "n_grams", "band")
         .agg(
@@ -238,7 +241,7 @@ def notice_spans(regions: DataFrame, table: DataFrame, diagonals: DataFrame) ->
             F.min(F.col("diagonal") + F.col("from_q")).alias("first_word"),
             (F.max(F.col("diagonal") + F.col("to_q")) + K - 1).alias("last_word"),
         )
-        .filter(F.col("votes") * 2 >= F.col("n_grams"))
+        .filter(f"3 * {width} >= 2 * (n_grams + {K - 1}) and 2 * {width} <= 3 * (n_grams + {K - 1})")
     )
     own = regions.select(*_KEY, "region", "begin", F.col("words").alias("around"))
     cut = F.slice("around", F.col("first_word") - F.col("begin") + 1, F.col("last_word") - F.col("first_word") + 1)

@@ -91,8 +91,8 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 class _Plan:
     """Who owns which key."""
 
-    def __init__(self, depth: int, owners: int, word_shift: int):
-        self.depth, self.owners, self.word_shift = depth, owners, word_shift
+    def __init__(self, depth: int, owners: int):
+        self.depth, self.owners = depth, owners
 
     def split(self, kind: int, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(owner, positions of its keys), in an order that depends on the keys alone."""
@@ -107,7 +107,7 @@ class _Plan:
         """(first, end, words, word keys, grams, grams per text)."""
         for begin, end, raw, offsets in W.pieces(texts):
             words = W.cut(raw, offsets, W.NON_SPACE)
-            yield begin, end, words, words.hashes >> np.uint64(self.word_shift), *_grams(words, self.depth)
+            yield begin, end, words, words.hashes, *_grams(words, self.depth)
 
     def distinct(self, texts: pa.Array) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(kind, keys, counts) of all texts together."""
@@ -298,7 +298,7 @@ def scored(documents: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFr
     size, train_docs = rows.agg(
         F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held_out"))
     ).first()
-    plan = _Plan(depth, max(1, -(-size // OWNED_BYTES)), max(0, 64 - (2 * int(size).bit_length() - 4)))
+    plan = _Plan(depth, max(1, -(-size // OWNED_BYTES)))
 
     counts = rows.filter(~F.col("held_out")).select("text").mapInArrow(_counted(plan), _COUNTS)
     merged = counts.groupBy("kind", "owner").applyInArrow(_owned, _COUNTS + ", n_keys bigint, total bigint")

@@ -30,6 +30,16 @@ def test_language_backs_off_to_shorter_grams(spark):
     assert got.field("score").to_pylist()[2:] == [0, 0, 0]
 
 
+def test_every_language_is_learned_however_long_its_texts(spark):
+    """Twenty languages of two texts each, every text longer than what a language may take."""
+    rows = [(10 * i + j, f"{chr(97 + i)}word{i} " * 4000, f"l{i:02d}") for i in range(20) for j in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = language.train(frame, bytes_per_language=20_000)
+    assert model.languages == sorted({lang for _, _, lang in rows})
+    found = language.predicted(model, pa.array([text for _, text, _ in rows])).field("lang_pred").to_pylist()
+    assert found == [lang for _, _, lang in rows]
+
+
 @pytest.mark.parametrize("rows", ["awkward", "nothing"])
 def test_language_of_awkward_rows(spark, awkward, nothing, rows):
     frame = awkward if rows == "awkward" else nothing

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import OTHER, PLAIN, SMALL, documents
 from pyspark.sql import functions as F
@@ -102,6 +103,14 @@ def test_likelihood_without_rows_or_training(spark, awkward, nothing):
         assert (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0)
 
 
+def test_word_keys_are_whole_hashes():
+    """However small the corpus, so that no two of its words are taken for one."""
+    plan = likelihood._Plan(likelihood.DEPTH, 1)
+    words = [f"w{i}" for i in range(60_000)]
+    (_, keys, counts), = [part for part in plan.distinct(pa.array([" ".join(words)])) if part[0] == likelihood._WORD]
+    assert len(keys) == len(words) and set(counts) == {1} and int(keys.max()).bit_length() == 64
+
+
 def recursive_tree(text, depth):
     """Context-tree weighting by its definition, node by node."""
     counts = collections.defaultdict(lambda: [0, 0])
@@ -169,6 +178,18 @@ def test_tree_equals_its_definition_and_is_a_distribution():
 # --- licenses -------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("changed", [0, 4, 8, 9])
+def test_notices_of_the_stated_similarity_are_found(spark, changed):
+    """Every fifth word changed leaves few runs of three words, but 0.8 of the words."""
+    words = licenses.NOTICES[1][0].split()
+    for i in range(changed):
+        words[2 + 5 * i] = f"other{i}"
+    rows = [(1, f"{PLAIN} {' '.join(words)} {OTHER}"), (2, PLAIN), (3, " ".join(words[:20]))]
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.scanned_licenses(documents(spark, rows)).collect()}
+    assert found[1][0] == "mit" and found[1][1] >= 0.8
+    assert found[2] == ("", 0) and found[3] == ("", 0)
+
+
 def test_license_phrases_equal_brute_force_and_notices_survive_edits(spark):
     notice = licenses.NOTICES[1][0]
     rows = [
