@@ -5,7 +5,9 @@ block-level tags, white space turned into one space, character references decode
 Scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments are set aside by tag, role or name; not so an element with a name,
 or a form, that is wrapped around an article or main region. A name counts as a whole, by its
-first or by its last part, but not as a state ("has-sidebar", "comments-open"). Each block has a text-to-tag
+first or by its last part, but not as a state ("has-sidebar", "comments-open"). Headings and
+paragraphs inside an article are its text: their ids, being anchors, set nothing aside, and
+their classes only if they name as a whole what others have put there. Each block has a text-to-tag
 ratio (characters outside links, per tag); the ratios are smoothed with a Gaussian over
 neighbouring blocks. Blocks that share an article (or, where there is none, a
 section) form a region, and a threshold between the two clusters of the regions'
@@ -13,13 +15,17 @@ ratios separates content from the rest. All blocks of a content region are kept,
 page order, each a line of the result.
 
 Null and empty pages give empty text. Nothing is capped; a page without any tags is
-one block. Unclosed and misnested tags are closed where HTML would close them.
+one block. Unclosed and misnested tags are closed where HTML would close them, and a
+tag that never ends is text. Equal rows give equal results; other columns are not read.
+Time grows with the length of a page, however deep its tags are nested.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -52,6 +58,13 @@ _ASIDE_NAMES = frozenset(
     "navigation breadcrumb breadcrumbs header masthead footer comment comments respond reply replies disqus share "
     "sharing social related recommended pagination pager toolbar search form".split()
 )
+_TEXTS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+#: Classes by which a paragraph of an article is no part of it.
+_OTHERS_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "newsletter subscribe signup comment comments reply replies share sharing".split()
+)
+_LISTS = ("ul", "ol", "table", "dl")
 #: First and last parts of names that tell a state of the page or an element, not what it is.
 _STATE_FIRST = frozenset("has no with without is".split())
 _STATE_LAST = frozenset("open opened closed enabled disabled allowed active".split())
@@ -67,10 +80,12 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, int | None]] = []  # tag, whether set aside, region it begins
+        self.places: defaultdict[str, list[int]] = defaultdict(list)  # of each tag in ``open``, ascending
         self.blocks: list[tuple[str, int, int, int, int]] = []
         # Elements set aside by name or as forms: (the one around it, tag), and which are wrappers after all.
         self.named: list[tuple[int, str]] = [(0, "")]
         self.wrappers: set[int] = set()
+        self.around_main: set[int] = set()  # those of them whose outer ones are wrappers as well
         self.inside = [0]
         self.regions = 1
         self.text: list[str] = []
@@ -86,6 +101,7 @@ class _Blocks(HTMLParser):
 
     def _pop_to(self, at: int) -> None:
         for tag, aside, region in reversed(self.open[at:]):
+            self.places[tag].pop()
             self.asides -= aside == _WHOLLY
             if aside == _UNLESS_WRAPPED:
                 self.inside.pop()
@@ -95,14 +111,15 @@ class _Blocks(HTMLParser):
         del self.open[at:]
 
     def _last(self, tag: str) -> int:
-        return next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), -1)
+        places = self.places.get(tag)
+        return places[-1] if places else -1
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in _INLINE:
             self._end_block()
             for closed in (*_CLOSED_BY_BLOCK, *([tag] if tag in _CLOSED_BY_SAME else [])):
                 at = self._last(closed)
-                nested = any(t in ("ul", "ol", "table", "dl") for t, _, _ in self.open[at + 1 :]) and closed != "p"
+                nested = closed != "p" and any(self._last(around) > at for around in _LISTS)
                 if at >= 0 and not nested:
                     self._pop_to(at)
         elif tag == "br":
@@ -115,13 +132,14 @@ class _Blocks(HTMLParser):
             region = self.regions
             self.regions += 1
             (self.mains if tag in _MAIN else self.sections).append(region)
-        aside = _set_aside(tag, attrs)
+        aside = _set_aside(tag, attrs, bool(self.mains))
         self._unwrap(tag, attrs)
         self.asides += aside == _WHOLLY
         if aside == _UNLESS_WRAPPED:
             self.named.append((self.inside[-1], tag))
             self.inside.append(len(self.named) - 1)
         self.links += tag == "a"
+        self.places[tag].append(len(self.open))
         self.open.append((tag, aside, region))
 
     def _unwrap(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -130,9 +148,14 @@ class _Blocks(HTMLParser):
             return
         if tag in _MAIN:
             # Comments are often articles within an article, or named for what they are.
-            around = any(t == "article" for t, _, _ in self.open)
-            if not around and not any(name in ("class", "id") and value and _named_aside(value) for name, value in attrs):
-                self.wrappers.update(self.inside[1:])
+            named = any(name in ("class", "id") and value and _named_aside(value) for name, value in attrs)
+            if self._last("article") < 0 and not named:
+                for at in range(len(self.inside) - 1, 0, -1):
+                    number = self.inside[at]
+                    if number in self.around_main:
+                        break
+                    self.around_main.add(number)
+                    self.wrappers.add(number)
         elif tag in _IN_PAGES and self.named[self.inside[-1]][1] == "form":
             self.wrappers.add(self.inside[-1])
 
@@ -161,7 +184,14 @@ class _Blocks(HTMLParser):
             self.linked += len(data)
 
     def close(self) -> None:
+        # No tag ends after the last ">". The parser would look for an end from each "<" there.
+        rest = ""
+        if self.cdata_elem is None:
+            cut = self.rawdata.rfind(">") + 1
+            self.rawdata, rest = self.rawdata[:cut], self.rawdata[cut:]
         super().close()
+        if rest:
+            self.handle_data(unescape(rest))
         self._end_block()
 
 
@@ -178,7 +208,7 @@ def _named_aside(value: str) -> bool:
     return False
 
 
-def _set_aside(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+def _set_aside(tag: str, attrs: list[tuple[str, str | None]], in_main: bool) -> int:
     if tag in _ASIDE:
         return _WHOLLY
     if tag in _MAIN or tag in ("html", "body"):
@@ -190,8 +220,12 @@ def _set_aside(tag: str, attrs: list[tuple[str, str | None]]) -> int:
                 return _WHOLLY
         elif name == "role" and value.strip().lower() in _ASIDE_ROLES:
             return _WHOLLY
-        elif name in ("class", "id") and _named_aside(value):
-            found = _UNLESS_WRAPPED
+        elif name in ("class", "id"):
+            if in_main and tag in _TEXTS:
+                aside = name == "class" and not _OTHERS_NAMES.isdisjoint(value.lower().split())
+            else:
+                aside = _named_aside(value)
+            found = _UNLESS_WRAPPED if aside else found
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return _WHOLLY
     return found

@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -367,6 +368,37 @@ def test_wrappers_keep_their_article(html):
     assert extract.main_text(f"<html><body>{html}</body></html>") == "kept"
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        "<p class='form'>kept</p>",
+        "<h2 id='search-results'>kept</h2>",
+        "<h2 id='related-work'>kept</h2>",
+        "<p id='comment'>kept</p>",
+        "<h3 class='section-header'>kept</h3>",
+    ],
+)
+def test_lines_of_an_article_are_kept_whatever_their_names(line):
+    page = f"<body><article><p>first line</p>{line}<p class=ad>buy</p><div class=comments><p>no</p></div></article></body>"
+    assert extract.main_text(page) == "first line\nkept"
+
+
+@pytest.mark.parametrize("tag", ["div", "ul", "div class=menu", "section", "a", "p"])
+def test_deep_and_unclosed_tags_take_linear_time(tag):
+    inside = "<p>one</p><li>two" * 2000
+    start = time.process_time()
+    found = extract.main_text(f"<body>{f'<{tag}>' * 100_000}{inside}<article>three</article></body>")
+    assert time.process_time() - start < 5
+    assert found.splitlines()[-1] == "three"
+
+
+def test_tags_that_never_end_are_text():
+    start = time.process_time()
+    assert extract.main_text("<p>x &amp; <a " + "<a " * 50_000) == ("x & <a " + "<a " * 50_000).strip()
+    assert time.process_time() - start < 2
+    assert extract.main_text("<p>one</p><a title='u > v <b &amp") == "one\n<a title='u > v <b &"
+
+
 # --- pipeline -------------------------------------------------------------------------
 
 
