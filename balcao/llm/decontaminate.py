@@ -4,7 +4,9 @@ Words are lower-cased runs of letters and digits; a shingle is five successive
 words (all words of a shorter item). For each item, windows of its own length are
 fingerprinted with a 64-bit SimHash of their shingles and looked up in a
 multi-index: eight blocks of eight bits, each stored with all values up to two
-flipped bits, so every item within ``RADIUS`` = 23 bits is a candidate. A candidate
+flipped bits, so every item within ``RADIUS`` = 23 bits is a candidate. As blocks of
+eight bits alone select little, the index is keyed by the item too, and a window is
+looked up under the items for which it was opened only. A candidate
 is kept if its exact similarity, twice the shared shingle weight over the sum of
 both weights (a shingle weighs its number of occurrences), is at least
 ``SIMILARITY``.
@@ -26,6 +28,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from balcao.sources.scratch import stage
 
@@ -33,17 +36,12 @@ WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 23
 _BLOCKS, _BLOCK_BITS, _FLIPS = 8, 8, 2
-#: Rows that may be sent to every task, of a few numbers each; larger sides are shuffled.
-BROADCAST_ROWS = 500_000
+#: Numbers of eight bytes that a side sent to every task may hold in all (16 MB); larger sides are shuffled.
+BROADCAST_NUMBERS = 2_000_000
 
 _KEY = ("key_1", "key_2")
 
 
-def _form() -> Column:
-    """Items of the same words in the same order are one form."""
-    return F.xxhash64("shingles").alias("form")
-
-
 def _of_size(k: Column) -> Column:
     """The shingles of ``hashes`` with ``k`` words, ``WORDS`` at most."""
     return reduce(lambda rest, n: F.when(k == n, _shingles("hashes", n)).otherwise(rest), range(1, WORDS), _shingles("hashes", WORDS))
@@ -67,27 +65,38 @@ def _shingles(hashes: str, k: int) -> Column:
 
 
 def _sent(side: DataFrame) -> DataFrame:
-    """A staged side, sent to every task if its counted rows are few."""
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    """A staged side of numbers and arrays of numbers, sent to every task if it holds few in all."""
+    held = [_numbers(field.dataType, F.col(field.name)) for field in side.schema]
+    total = side.select(F.sum(reduce(lambda a, b: a + b, held)).alias("held")).first().held or 0
+    return F.broadcast(side) if total <= BROADCAST_NUMBERS else side
+
+
+def _numbers(kind: DataType, value: Column) -> Column:
+    """How many numbers a value holds; an array counts one more for its own size."""
+    if isinstance(kind, ArrayType):
+        width = len(kind.elementType.fields) if isinstance(kind.elementType, StructType) else 1
+        return F.greatest(F.size(value), F.lit(0)) * width + 1
+    return F.lit(1)
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, length, k, shingles) of each distinct item with words; ``item`` is never null."""
-    hashed = benchmark.select("item_id", _word_hashes(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
+    hashed = benchmark.select("item_id", _word_hashes(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0).distinct()
     k = F.least(F.size("hashes"), F.lit(WORDS))
-    return (
-        hashed.withColumn("k", k)
-        .select(
-            F.xxhash64("item_id", "hashes").alias("item"),
-            "item_id",
-            F.size("hashes").alias("length"),
-            "k",
-            _of_size(F.col("k")).alias("shingles"),
-        )
-        .distinct()
+    return hashed.withColumn("k", k).select(
+        F.xxhash64("item_id", "hashes").alias("item"),
+        "item_id",
+        F.size("hashes").alias("length"),
+        "k",
+        _of_size(F.col("k")).alias("shingles"),
     )
 
 
+def with_form(items: DataFrame) -> DataFrame:
+    """Items of the same words in the same order are one form."""
+    return items.withColumn("form", F.xxhash64("shingles"))
+
+
 def _anchors(items: DataFrame, similarity: float) -> DataFrame:
     """(k, shingle, form, length): the rarest shingles of each item, enough to miss no match.
 
@@ -95,7 +104,7 @@ def _anchors(items: DataFrame, similarity: float) -> DataFrame:
     in a shorter document has m < n of them and needs similarity * (n + m) / 2 <= m,
     that is at least n * similarity / (2 - similarity).
     """
-    placed = items.select("item", "length", "k", _form(), F.posexplode("shingles").alias("place", "shingle"))
+    placed = items.select("item", "length", "k", "form", F.posexplode("shingles").alias("place", "shingle"))
     spread = placed.groupBy("k", "shingle").agg(F.count_distinct("item").alias("spread"))
     ranked = placed.join(spread, ["k", "shingle"]).withColumns(
         {
@@ -117,7 +126,7 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def _windows(keyed: DataFrame, items: DataFrame, anchors: DataFrame, similarity: float) -> DataFrame:
-    """(key, begin, width, length): where an item of ``length`` words may lie.
+    """(key, form, begin, width, length): where an item of that form, of ``length`` words, may lie.
 
     A window of s shingles needs similarity * (s + n) / 2 of them in the item's n. Every
     so many successive places of the item's shingles bound the windows that hold them all.
@@ -134,11 +143,12 @@ def _windows(keyed: DataFrame, items: DataFrame, anchors: DataFrame, similarity:
     asked = keyed.join(_sent(stage(per_doc, "pares-doc")), [*_KEY]).dropDuplicates([*_KEY])
     asked = asked.select(*_KEY, _word_hashes(F.col("text")).alias("hashes"), "pairs")
     asked = asked.select(*_KEY, "hashes", F.explode("pairs").alias("pair")).select(*_KEY, "hashes", "pair.*")
-    forms = stage(items.select(_form(), F.array_distinct("shingles").alias("own"), F.size("shingles").alias("n_item")).distinct(), "formas")
+    forms = stage(items.select("form", F.array_distinct("shingles").alias("own"), F.size("shingles").alias("n_item")).distinct(), "formas")
     inside = F.transform(_of_size(F.col("k")), lambda x, at: F.when(F.array_contains("own", x), at))
     n, width = F.size("hashes"), F.least(F.size("hashes"), "length")
     placed = asked.join(forms, "form").select(
         *_KEY,
+        "form",
         "length",
         n.alias("n"),
         width.alias("width"),
@@ -154,9 +164,9 @@ def _windows(keyed: DataFrame, items: DataFrame, anchors: DataFrame, similarity:
             F.least(at, F.col("n") - F.col("width")).alias("high"),
         ),
     )
-    bounded = placed.select(*_KEY, "width", "length", F.explode(ends).alias("of")).filter("of.low <= of.high")
+    bounded = placed.select(*_KEY, "form", "width", "length", F.explode(ends).alias("of")).filter("of.low <= of.high")
     begin = F.explode(F.sequence("of.low", "of.high")).alias("begin")
-    return bounded.select(*_KEY, begin, "width", "length").distinct()
+    return bounded.select(*_KEY, "form", begin, "width", "length").distinct()
 
 
 def _fingerprint(shingle: str) -> Column:
@@ -189,7 +199,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 def _best_windows(documents: DataFrame, benchmark: DataFrame, similarity: float) -> DataFrame:
     """The best window (begin, width) of each text, told apart by its keys, and item that match."""
     keyed = _keyed(documents.select("doc_id", "text"))
-    items = stage(items_of(benchmark.select("item_id", "text")), "itens")
+    items = with_form(stage(items_of(benchmark.select("item_id", "text")), "itens"))
     anchors = stage(_anchors(items, similarity), "ancoras")
     if anchors.isEmpty():
         return keyed.limit(0).select(
@@ -202,7 +212,8 @@ def _best_windows(documents: DataFrame, benchmark: DataFrame, similarity: float)
             F.lit(0).alias("distance"),
         )
     spots = stage(_windows(keyed, items, anchors, similarity), "janelas")
-    per_doc = spots.groupBy(*_KEY).agg(F.collect_list(F.struct("begin", "width", "length")).alias("spots"))
+    spot = F.struct("begin", "width", "length")
+    per_doc = spots.groupBy(*_KEY).agg(F.collect_set(spot).alias("spots"))
     own = _sent(stage(per_doc, "janelas-doc"))
     with_words = (
         keyed.join(own, [*_KEY])
@@ -217,8 +228,8 @@ def _best_windows(documents: DataFrame, benchmark: DataFrame, similarity: float)
     window_id = ["doc_id", *_KEY, "begin", "width", "length"]
     weighed = stage(shingled.groupBy(*window_id, "shingle").agg(F.count(F.lit(1)).alias("weight")), "telhas")
 
-    item_weighed = items.select("item", "item_id", "length", F.explode("shingles").alias("shingle"))
-    item_print = item_weighed.groupBy("item", "item_id", "length").agg(
+    item_weighed = items.select("item", "item_id", "form", F.explode("shingles").alias("shingle"))
+    item_print = item_weighed.groupBy("item", "item_id", "form").agg(
         _fingerprint("shingle").alias("item_print"), F.count(F.lit(1)).alias("item_weight")
     )
     flips = F.explode(F.array(*[F.lit(x) for x in _near_values()])).alias("flip")
@@ -226,7 +237,7 @@ def _best_windows(documents: DataFrame, benchmark: DataFrame, similarity: float)
     index = item_print.select("*", blocks.alias("block")).select("*", flips).select(
         "item",
         "item_id",
-        "length",
+        "form",
         "item_print",
         "item_weight",
         F.col("block.no").alias("no"),
@@ -236,12 +247,13 @@ def _best_windows(documents: DataFrame, benchmark: DataFrame, similarity: float)
         _fingerprint_weighted().alias("print"), F.sum("weight").alias("window_weight")
     )
     own_blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("no"), _block(F.col("print"), b).alias("value")) for b in range(_BLOCKS)]))
-    asked = prints.select("*", own_blocks.alias("block")).select(
-        *window_id, "print", "window_weight", F.col("block.no").alias("no"), F.col("block.value").alias("value")
+    opened_for = prints.join(spots, [*_KEY, "begin", "width", "length"])
+    asked = opened_for.select("*", own_blocks.alias("block")).select(
+        *window_id, "form", "print", "window_weight", F.col("block.no").alias("no"), F.col("block.value").alias("value")
     )
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     near = (
-        asked.join(index, ["length", "no", "value"])
+        asked.join(index, ["form", "no", "value"])
         .withColumn("distance", distance)
         .filter(F.col("distance") <= RADIUS)
         .select(*window_id, "item", "item_id", "distance", "window_weight", "item_weight")

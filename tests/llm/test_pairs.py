@@ -8,6 +8,7 @@ from conftest_llm import OTHER, PLAIN, documents
 
 from balcao.llm import decontaminate, jaccard
 from balcao.llm.components import components
+from balcao.sources.scratch import stage
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -164,6 +165,52 @@ def test_matches_of_reordered_items_equal_brute_force(spark):
     assert got == brute_matches(rows, items) and {(1, 1), (1, 2), (2, 1), (4, 3)} <= got
 
 
+def altered_items(rng, lengths, count, copies):
+    """Items of so many words, and texts that hold them with words changed or cut."""
+    word = lambda: f"w{rng.randrange(3000)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate(n for n in lengths for _ in range(count))]
+    rows = []
+    for i, item in items:
+        for copy in range(copies):
+            words = item.split()
+            n = len(words)
+            for _ in range(rng.randint(0, max(1, n // 25))):
+                words[rng.choice([rng.randrange(n), rng.randrange(min(n, 3)), -1])] = word()
+            words = words[rng.choice([0, 0, n // 20, n // 10]) :]
+            rows.append((i * 10 + copy, " ".join([word() for _ in range(9)] + words + [word() for _ in range(9)])))
+    return items, rows
+
+
+def test_matches_by_item_length_equal_brute_force(spark):
+    """No match above the similarity lies beyond the radius of the fingerprints, short items included."""
+    items, rows = altered_items(random.Random(5), [3, 6, 9, 14, 20, 30, 60], count=5, copies=3)
+    found = decontaminate.matches(documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    got, want = {(r.doc_id, r.item_id) for r in found.collect()}, brute_matches(rows, items)
+    assert got == want
+    lengths = dict((i, len(t.split())) for i, t in items)
+    assert {lengths[i] for _, i in want} == {3, 6, 9, 14, 20, 30, 60}
+
+
+def test_unrelated_windows_and_items_do_not_meet(spark):
+    """Windows are looked up under the items that opened them: pairs that meet grow with matches, not with the product."""
+    items, rows = altered_items(random.Random(1), [30], count=60, copies=4)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    benchmark = decontaminate.with_form(stage(decontaminate.items_of(benchmark), "itens"))
+    anchors = stage(decontaminate._anchors(benchmark, 0.8), "ancoras")
+    spots = decontaminate._windows(decontaminate._keyed(documents(spark, rows)), benchmark, anchors, 0.8)
+    opened = spots.select("key_1", "key_2", "form").distinct().count()
+    assert 0 < opened <= 0.05 * len(rows) * len(items)
+
+
+def test_only_small_sides_are_sent(spark, monkeypatch):
+    """The size counts what arrays hold, not rows alone."""
+    side = spark.createDataFrame([(1, [(1, 2)] * 50), (2, None)], "a bigint, b array<struct<x: int, y: int>>")
+    for limit, sent in ((104, True), (103, False)):  # 2 rows, 2 array sizes, 100 numbers
+        monkeypatch.setattr(decontaminate, "BROADCAST_NUMBERS", limit)
+        plan = decontaminate._sent(side)._jdf.queryExecution().logical().toString()
+        assert ("broadcast" in plan) == sent
+
+
 def test_matches_of_awkward_rows(spark, awkward, nothing):
     benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     empty = benchmark.limit(0)
