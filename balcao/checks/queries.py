@@ -200,6 +200,19 @@ def audit_by_fold(state: str) -> Query:
     return answered
 
 
+def audit_quantiles(w: Warehouse) -> DataFrame:
+    """Whether the ranks of folded p95 values keep to their error, by counting the log around them."""
+    estimates = audit_by_fold("quantis")(w)
+    phase = ["camada", "tabela", "fase"]
+    done = audit.successes(w.raw("pipeline_audit")).filter(F.col("duracao_ms").isNotNull())
+    around = done.join(estimates, phase).groupBy(*phase, "qtd_sucessos").agg(
+        F.avg((F.col("duracao_ms") < F.col("duracao_p95_ms")).cast("int")).alias("abaixo"),
+        F.avg((F.col("duracao_ms") <= F.col("duracao_p95_ms")).cast("int")).alias("ate"),
+    )
+    kept = (F.col("abaixo") <= 0.95 + audit.RANK_ERROR) & (F.col("ate") >= 0.95 - audit.RANK_ERROR)
+    return around.select(*phase, "qtd_sucessos", kept.alias("dentro_do_erro"))
+
+
 def silver_quarantine(w: Warehouse) -> DataFrame:
     """Good and rejected shipments of a cleaned layer, from raw ones with unreadable lead times."""
     root = fresh_path(w.spark, "quarentena")
@@ -545,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "audit_folded_phase_stats": audit_by_fold("fases"),
     "audit_folded_layer_totals": audit_by_fold("totais"),
     "audit_folded_table_volumes": audit_by_fold("volumes"),
+    "audit_folded_quantiles": audit_quantiles,
     "audit_sla_breaches": _asked(audit.sla_breaches),
     "running_max": _asked(audit.latest_mark),
     "latest_per_group": latest_row,

@@ -177,6 +177,35 @@ def phase_stats(audit: DataFrame, n: int = 30) -> DataFrame:
     return stats_of_recent(recent_successes(successes(audit), n))
 
 
+#: Size of a quantile sketch, and the error of ranks that it keeps to with a confidence of 99 %.
+SKETCH_SIZE = 800
+RANK_ERROR = 0.006
+
+
+def duration_sketches(audit: DataFrame) -> DataFrame:
+    """A quantile sketch of the durations of all successes of each phase, a few KB however many there are."""
+    timed = audit.filter((F.col("status") == OK) & F.col("duracao_ms").isNotNull())
+    sketch = F.kll_sketch_agg_bigint(F.col("duracao_ms").cast("bigint"), SKETCH_SIZE)
+    return timed.groupBy(*_PHASE).agg(sketch.alias("esboco"))
+
+
+def merged_sketches(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*_PHASE).agg(F.kll_merge_agg_bigint("esboco", SKETCH_SIZE).alias("esboco"))
+
+
+def quantiles_of_sketches(sketches: DataFrame) -> DataFrame:
+    """Median, p95 and p99 of each phase. Up to ``SKETCH_SIZE`` successes they are exact,
+    beyond that their ranks are off by ``RANK_ERROR`` of all successes at most."""
+    at = {"duracao_p50_ms": 0.5, "duracao_p95_ms": 0.95, "duracao_p99_ms": 0.99}
+    quantiles = [F.kll_sketch_get_quantile_bigint("esboco", F.lit(rank)).alias(name) for name, rank in at.items()]
+    return sketches.select(*_PHASE, F.kll_sketch_get_n_bigint("esboco").alias("qtd_sucessos"), *quantiles)
+
+
+def phase_quantiles(audit: DataFrame) -> DataFrame:
+    """Quantiles over all successes of each phase; ``phase_stats`` has the exact ones of the last few."""
+    return quantiles_of_sketches(duration_sketches(audit))
+
+
 _TABLE_OF_RUN = ["camada", "run_id", "tabela"]
 
 

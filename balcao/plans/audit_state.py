@@ -1,6 +1,6 @@
 """The audit marts kept up to date: small tables that take in only what the log gained.
 
-A fold reads the log files that no earlier fold has read, merges them into three state
+A fold reads the log files that no earlier fold has read, merges them into the state
 tables, and publishes these together with the list of files they hold, in one
 append. A fold that fails leaves the last published state and list, and the next one reads
 the same files again; log rows appended meanwhile wait for the next one.
@@ -12,6 +12,8 @@ as they would change a recomputation from the whole log:
   success counts if it is among the last ones, and is passed over if it is not.
 * ``totais``: time and outcome per layer, run and table; late rows add to their run.
 * ``volumes``: rows and time per layer, table and run; the largest value stays.
+* ``quantis``: a quantile sketch per layer, table and phase of all successes ever logged, which
+  merges with the sketch of the new ones. Its ranks keep to a stated error in any order of merging.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ STATES: Mapping[str, State] = {
     "fases": State(audit.successes, lambda both: audit.recent_successes(both, RECENT), audit.stats_of_recent),
     "totais": State(audit.table_totals, audit.merged_table_totals, audit.totals_of_tables),
     "volumes": State(audit.run_volumes, audit.merged_run_volumes, audit.volumes_of_runs),
+    "quantis": State(audit.duration_sketches, audit.merged_sketches, audit.quantiles_of_sketches),
 }
 
 

@@ -1,5 +1,6 @@
 """Folding the audit log into state tables."""
 
+from bisect import bisect_left, bisect_right
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from balcao.sources import schemas
 from balcao.sources.layers import append, publish_log, rows_to_df
 
 START = datetime(2024, 1, 1)
-WHOLE = {"fases": audit.phase_stats, "totais": audit.layer_totals, "volumes": audit.table_volumes}
+WHOLE = {"fases": audit.phase_stats, "totais": audit.layer_totals, "volumes": audit.table_volumes, "quantis": audit.phase_quantiles}
 
 
 def phase(minute, run, table="vendas", layer="bronze", name="escrita", took=10, rows=5, status="sucesso"):
@@ -45,6 +46,34 @@ def test_folds_equal_the_whole_log(spark, folder):
     assert audit_state.state_table(spark, folder, "fases").count() <= 2 * audit_state.RECENT
 
 
+def test_quantiles_of_many_folds_keep_to_the_rank_error(spark, folder):
+    """Five folds of 20,000 durations each, many equal and in rising order, against sorting all of them."""
+    names = [part.split()[0] for part in schemas.AUDIT.split(", ")]
+    for part in range(5):
+        rows = spark.range(part * 20_000, (part + 1) * 20_000).selectExpr(
+            "concat('r', id) run_id",
+            "timestamp'2024-01-01' timestamp",
+            "'bronze' camada",
+            "'vendas' tabela",
+            "'escrita' fase",
+            "if(id % 3 = 0, 7, if(id % 50 = 1, null, id * id div 1000)) duracao_ms",
+            "1L row_count",
+            "if(id % 10 = 0, 'erro', 'sucesso') status",
+            "cast(null as string) erro_mensagem",
+        )
+        append(rows.select(*names), f"{folder}/log")
+        fold(spark, folder)
+    sketches = audit_state.state_table(spark, folder, "quantis")
+    found = audit.quantiles_of_sketches(sketches).first()
+    log = spark.read.parquet(f"{folder}/log").filter("status = 'sucesso' and duracao_ms is not null")
+    every = sorted(r.duracao_ms for r in log.select("duracao_ms").collect())
+    assert found.qtd_sucessos == len(every) > 80_000
+    for value, rank in ((found.duracao_p50_ms, 0.5), (found.duracao_p95_ms, 0.95), (found.duracao_p99_ms, 0.99)):
+        assert bisect_left(every, value) / len(every) <= rank + audit.RANK_ERROR
+        assert bisect_right(every, value) / len(every) >= rank - audit.RANK_ERROR
+    assert sketches.selectExpr("max(octet_length(esboco)) most").first().most < 40_000
+
+
 def test_only_new_files_are_read(spark, folder):
     for i in range(4):
         put(spark, folder, [phase(i, f"r{i}")])
