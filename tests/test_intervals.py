@@ -73,3 +73,16 @@ def test_rows_formed_do_not_grow_with_days(spark, length, most):
     per_interval = spans.spans_of(made, "id").groupBy("id").count()
     assert per_interval.agg(F.max("count"), F.count("count")).first()[0] <= most
     assert per_interval.count() == 300
+
+
+def test_nothing_built_for_spans_is_broadcast(spark):
+    """Files of a few MB hold answers of hundreds of MB, so their size must not choose the join."""
+    intervals = spark.createDataFrame([(i, DAY, DAY + timedelta(days=i)) for i in range(40)], "id bigint, first date, last date")
+    asked = spark.createDataFrame([(DAY, k) for k in range(40)], "day date, nth int")
+    rows = spark.createDataFrame([(i, DAY, i) for i in range(9)], "row bigint, day date, pick bigint")
+    named = spans.pick_open(rows, "day", "pick", intervals, "row", "found")
+    for found, joins in ((spans.open_on(asked.select("day").distinct(), intervals), 1), (spans.nth_open(asked, intervals), 3), (named, 4)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # Only what is found for whole days, a row per day, may be broadcast.
+        assert plan.count("BroadcastHashJoin") <= (found is named)
+        assert plan.count("SortMergeJoin") >= joins
