@@ -14,9 +14,10 @@ beginning of four or five letters, occurs in toxic texts than in others, as a
 cautious (lower bound) log ratio. A logistic model over the strongest piece, the
 sum, and the sum per word gives the score.
 
-Training takes up to ``rows`` labelled rows, chosen by hash, and fits the logistic
-model on up to ``LAST_ROWS`` of them; scoring covers whole texts of all rows. Null and empty texts carry no evidence and get the score of
-that. Without both labels in training, every score is 0. An id labelled both ways
+Training takes every labelled row: trigrams from all of them, evidence first from the toxic
+texts, then how often the others hold what several toxic ones do, and the logistic model by
+Newton steps whose sums Spark adds up over all rows. Scoring covers whole texts of all rows. Null and
+empty texts carry no evidence and get the score of that. Without both labels in training, every score is 0. An id labelled both ways
 counts as toxic.
 """
 
@@ -32,11 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao.llm import words as W
-from balcao.llm.tables import bounded_rows
+from balcao.sources.scratch import stage
 
-ROWS = 16_000
-#: Labelled rows, of these, that fit the last step's four weights.
-LAST_ROWS = 4_000
 _BEGINNINGS = (4, 5)
 _LEAST_TEXTS = 4
 
@@ -348,69 +346,69 @@ def _trigrams(table: pa.Table) -> np.ndarray:
     return np.log((three + 5 * share) / (three.sum(axis=2, keepdims=True) + 5))
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> ToxicityModel:
+def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learn from documents (doc_id, text) and labels (doc_id, toxic) of training rows only."""
     spark = documents.sparkSession
     given = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("of_doc"))
-    some = bounded_rows(given.agg(F.max("toxic").cast("int").alias("toxic")), rows, "of_doc")
+    given = given.agg(F.max("toxic").cast("int").alias("toxic"))
     texts = documents.select("doc_id", "text").filter("text is not null")
-    sample = texts.join(F.broadcast(some), F.col("doc_id") == F.col("of_doc")).select("text", "toxic")
+    sample = stage(texts.join(given, F.col("doc_id") == F.col("of_doc")).select("text", "toxic"), "toxic")
     grams = sample.mapInArrow(_trigram_counts, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     trigrams = spark.sparkContext.broadcast(_trigrams(grams.toArrow()))
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = _Restorer(trigrams.value)
-        for batch in batches:
-            toxic = batch.column("toxic").to_numpy()
-            for begin, end, keys, docs, _ in _piecewise(batch.column("text"), restorer):
-                keys = keys.view(np.int64)
-                order = np.lexsort((docs, keys))
-                keys, docs = keys[order], docs[order]
-                once = np.ones(len(keys), dtype=bool)
-                once[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-                bad = toxic[begin:end][docs[once]] == 1
-                key, at = np.unique(keys[once], return_inverse=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key),
-                        pa.array(np.bincount(at, weights=bad).astype(np.int64)),
-                        pa.array(np.bincount(at, weights=~bad).astype(np.int64)),
-                    ],
-                    ["key", "bad", "good"],
-                )
-
-    counts = sample.mapInArrow(found, "key bigint, bad bigint, good bigint").groupBy("key")
-    counts = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(f"bad >= {_LEAST_TEXTS}")
+    def counted(some: DataFrame, among: np.ndarray | None = None) -> DataFrame:
+        """How many of the texts hold each key, or each one of the sorted keys ``among``."""
+        sent = spark.sparkContext.broadcast(among)
+
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            restorer = _Restorer(trigrams.value)
+            for batch in batches:
+                for _, _, keys, docs, _ in _piecewise(batch.column("text"), restorer):
+                    keys = keys.view(np.int64)
+                    if sent.value is not None:
+                        hit = sent.value[np.minimum(np.searchsorted(sent.value, keys), len(sent.value) - 1)] == keys
+                        keys, docs = keys[hit], docs[hit]
+                    order = np.lexsort((docs, keys))
+                    keys, docs = keys[order], docs[order]
+                    once = np.ones(len(keys), dtype=bool)
+                    once[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
+                    key, n = np.unique(keys[once], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+
+        pairs = some.select("text").mapInArrow(found, "key bigint, n bigint")
+        return pairs.groupBy("key").agg(F.sum("n").alias("n"))
+
     totals = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     n_bad, n_good = (int(x or 0) for x in totals)
     if not n_bad or not n_good:
         return ToxicityModel(trigrams.value, np.empty(0, np.uint64), np.empty(0), np.array([0.0, 0, 0, -1e9]))
-    keys, weights = _weights(counts.toArrow(), n_bad, n_good)
+    bad = counted(sample.filter("toxic = 1")).filter(f"n >= {_LEAST_TEXTS}").toArrow().sort_by("key")
+    keys, bad = bad.column("key").to_numpy(), bad.column("n").to_numpy()
+    good = np.zeros(len(keys), dtype=np.int64)
+    if len(keys):
+        others = counted(sample.filter("toxic <> 1"), keys).toArrow()
+        good[np.searchsorted(keys, others.column("key").to_numpy())] = others.column("n").to_numpy()
+    keys, weights = _weights(keys, bad, good, n_bad, n_good)
     model = ToxicityModel(trigrams.value, keys, weights, np.zeros(4))
     sent = spark.sparkContext.broadcast(model)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = _Restorer(sent.value.trigrams)
         for batch in batches:
-            rows_of = evidence(sent.value, batch.column("text"))
-            columns = [pa.array(x) for x in rows_of.T]
+            columns = [pa.array(x) for x in evidence(sent.value, batch.column("text"), restorer).T]
             yield pa.RecordBatch.from_arrays([*columns, batch.column("toxic")], ["a", "b", "c", "toxic"])
 
-    last = bounded_rows(some, LAST_ROWS, "of_doc", "toxic")
-    few = texts.join(F.broadcast(last), F.col("doc_id") == F.col("of_doc")).select("text", "toxic")
-    table = few.mapInArrow(described, "a double, b double, c double, toxic int").toArrow()
-    x = np.stack([table.column(name).to_numpy() for name in "abc"], axis=1)
-    model.logistic = _logistic(x, table.column("toxic").to_numpy())
+    model.logistic = _logistic(stage(sample.mapInArrow(described, "a double, b double, c double, toxic int"), "toxic-medidas"))
     return model
 
 
-def _weights(table: pa.Table, n_bad: int, n_good: int) -> tuple[np.ndarray, np.ndarray]:
+def _weights(keys: np.ndarray, bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys with positive evidence, sorted, and their cautious log ratios."""
-    bad, good = table.column("bad").to_numpy(), table.column("good").to_numpy()
     low = np.maximum(bad - 1.64 * np.sqrt(bad), 1e-9) / n_bad
     high = (good + 1.64 * np.sqrt(good) + 2) / n_good
     weight = np.log(low / high)
     keep = weight > 0.5
-    keys = table.column("key").to_numpy().view(np.uint64)[keep]
+    keys = keys.view(np.uint64)[keep]
     order = np.argsort(keys)
     return keys[order], weight[keep][order]
 
@@ -432,16 +430,28 @@ def evidence(model: ToxicityModel, texts: pa.Array, restorer: _Restorer | None =
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights and bias by Newton steps on the penalised likelihood."""
-    z = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(4)
-    penalty = np.diag([1e-2, 1e-2, 1e-2, 1e-4]) * len(x) ** 0.5
+def _logistic(described: DataFrame) -> np.ndarray:
+    """Weights and bias by Newton steps on the penalised likelihood; each step's sums come from all rows."""
+    z = [F.col("a"), F.col("b"), F.col("c"), F.lit(1.0)]
+    w, n = np.zeros(4), described.count()
+    penalty = np.diag([1e-2, 1e-2, 1e-2, 1e-4]) * n**0.5
+    pairs = [(i, j) for i in range(4) for j in range(i + 1)]
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (p - y) + penalty @ w
-        bend = (z * (p * (1 - p))[:, None]).T @ z + penalty
-        w = w - np.linalg.solve(bend, slope)
+        linear = sum((x * float(one) for x, one in zip(z[1:], w[1:], strict=True)), z[0] * float(w[0]))
+        clipped = F.least(F.greatest(linear, F.lit(-30.0)), F.lit(30.0))
+        with_p = described.withColumn("p", 1 / (1 + F.exp(-clipped)))
+        off, bends = F.col("p") - F.col("toxic"), F.col("p") * (1 - F.col("p"))
+        first = [F.sum(x * off).alias(f"s{i}") for i, x in enumerate(z)]
+        sums = with_p.agg(*first, *[F.sum(z[i] * z[j] * bends).alias(f"h{i}{j}") for i, j in pairs]).first()
+        slope = np.array([sums[f"s{i}"] for i in range(4)]) + penalty @ w
+        bend = penalty.copy()
+        for i, j in pairs:
+            bend[i, j] += sums[f"h{i}{j}"]
+            bend[j, i] = bend[i, j]
+        step = np.linalg.solve(bend, slope)
+        w = w - step
+        if np.abs(step).max() < 1e-10:
+            break
     return w
 
 

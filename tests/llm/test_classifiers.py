@@ -106,3 +106,15 @@ def test_disguises_by_gaps_doubling_and_neighbours_are_undone(spark):
     disguised += ["m\no\nr\no\nn", "m,o,r,o,n", "m/o/r/o/n", "you id iot", "iddiioott", "mor0n!", "idio+"]
     strongest = toxicity.evidence(model, pa.array([*disguised, "the river is wide"]))[:, 0]
     assert [x for x, s in zip(disguised, strongest, strict=False) if s < 1] == [] and strongest[-1] == 0
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Each word is in the fewest toxic texts that count: leaving out any labelled row would lose some."""
+    words = [f"{first}olmer" for first in "bcdfghjkmnpqrtvw"]
+    texts = [word for word in words for _ in range(4)]
+    n = len(texts) + 20_000
+    rows = [(i, texts[i] if i < len(texts) else f"the river is wide {i % 90}") for i in range(n)]
+    documents = spark.createDataFrame(pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}))
+    labels = spark.createDataFrame(pa.table({"doc_id": list(range(n)), "toxic": [int(i < len(texts)) for i in range(n)]}))
+    model = toxicity.train(documents, labels)
+    assert (toxicity.evidence(model, pa.array(words))[:, 0] > 0).all()
