@@ -289,10 +289,8 @@ def _evidence_keys(
         keys.append(part.hashes)
         for size in _BEGINNINGS:
             long = np.flatnonzero(part.lengths > size)
-            take = (first[long][:, None] + np.arange(size)).reshape(-1)
-            begin = W.run_hashes(W._BYTE[part.letters[take]], np.arange(len(long)) * size, np.full(len(long), size))
             docs.append(doc[long])
-            keys.append(W.mix(begin + np.uint64(size)))
+            keys.append(W.mix(W.beginning_hashes(part.letters, first[long], size) + np.uint64(size)))
 
     add(words, np.repeat(np.arange(len(words.per_doc)), words.per_doc))
     add(*joined)
@@ -314,6 +312,26 @@ def _piecewise(texts: pa.Array, restorer: _Restorer) -> Iterator[tuple[int, int,
         yield begin, end, keys, docs, words.per_doc
 
 
+class _Sorted:
+    """Sorted keys. Their last bits tell most other keys apart, so few of those are searched for."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = (1 << min(22, 3 + len(keys).bit_length())) - 1
+        self.some = np.zeros(self.bits + 1, dtype=bool)
+        self.some[self._last(keys)] = True
+
+    def _last(self, keys: np.ndarray) -> np.ndarray:
+        return keys.view(np.int64) & self.bits
+
+    def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the keys of those asked for that are one, and where these stand among the asked."""
+        maybe = np.flatnonzero(self.some[self._last(asked)])
+        place = np.minimum(np.searchsorted(self.keys, asked[maybe]), len(self.keys) - 1)
+        hit = self.keys[place] == asked[maybe]
+        return place[hit], maybe[hit]
+
+
 def _trigram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total = np.zeros(_SIZE**3, dtype=np.int64)
@@ -352,7 +370,9 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     given = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("of_doc"))
     given = given.agg(F.max("toxic").cast("int").alias("toxic"))
     texts = documents.select("doc_id", "text").filter("text is not null")
-    sample = stage(texts.join(given, F.col("doc_id") == F.col("of_doc")).select("text", "toxic"), "toxic")
+    # Texts meet their labels the same way at every size, and are not sorted for it.
+    labelled = texts.join(given.hint("shuffle_hash"), F.col("doc_id") == F.col("of_doc"))
+    sample = stage(labelled.select("text", "toxic"), "toxic")
     grams = sample.mapInArrow(_trigram_counts, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     trigrams = spark.sparkContext.broadcast(_trigrams(grams.toArrow()))
 
@@ -362,18 +382,18 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restorer = _Restorer(trigrams.value)
+            asked = None if sent.value is None else _Sorted(sent.value)
             for batch in batches:
-                for _, _, keys, docs, _ in _piecewise(batch.column("text"), restorer):
+                for begin, end, keys, docs, _ in _piecewise(batch.column("text"), restorer):
                     keys = keys.view(np.int64)
-                    if sent.value is not None:
-                        hit = sent.value[np.minimum(np.searchsorted(sent.value, keys), len(sent.value) - 1)] == keys
-                        keys, docs = keys[hit], docs[hit]
-                    order = np.lexsort((docs, keys))
-                    keys, docs = keys[order], docs[order]
-                    once = np.ones(len(keys), dtype=bool)
-                    once[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-                    key, n = np.unique(keys[once], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+                    if asked is None:
+                        known, place = np.unique(keys, return_inverse=True)
+                    else:
+                        known, (place, hit) = asked.keys, asked.find(keys)
+                        docs = docs[hit]
+                    once = np.unique(place * (end - begin) + docs)
+                    place, n = np.unique(once // (end - begin), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(known[place]), pa.array(n)], ["key", "n"])
 
         pairs = some.select("text").mapInArrow(found, "key bigint, n bigint")
         return pairs.groupBy("key").agg(F.sum("n").alias("n"))
@@ -416,13 +436,12 @@ def _weights(keys: np.ndarray, bad: np.ndarray, good: np.ndarray, n_bad: int, n_
 def evidence(model: ToxicityModel, texts: pa.Array, restorer: _Restorer | None = None) -> np.ndarray:
     """Per text: the strongest piece of evidence, the log of the sum, the sum per word."""
     out = np.zeros((len(texts), 3))
-    restorer = restorer or _Restorer(model.trigrams)
+    restorer, known = restorer or _Restorer(model.trigrams), _Sorted(model.keys)
     for begin, end, keys, docs, per_doc in _piecewise(texts, restorer):
         if not len(model.keys) or not len(keys):
             continue
-        at = np.minimum(np.searchsorted(model.keys, keys), len(model.keys) - 1)
-        hit = model.keys[at] == keys
-        weight, doc = model.weights[at[hit]], docs[hit]
+        place, hit = known.find(keys)
+        weight, doc = model.weights[place], docs[hit]
         most = np.zeros(end - begin)
         np.maximum.at(most, doc, weight)
         total = np.bincount(doc, weights=weight, minlength=end - begin)

@@ -120,6 +120,15 @@ def run_hashes(values: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np
     return mix(np.add.reduceat(values * factors[place], first) + lengths.astype(np.uint64) * _STEP)
 
 
+def beginning_hashes(letters: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """What ``run_hashes`` gives for the ``size`` letters from each place on."""
+    factors = _place_factors(size)
+    total = np.full(len(first), size, dtype=np.uint64) * _STEP
+    for j in range(size):
+        total += (_BYTE * factors[j])[letters[first + j]]
+    return mix(total)
+
+
 def cut(raw: np.ndarray, offsets: np.ndarray, kept: np.ndarray) -> Words:
     """The words of a piece: maximal runs of bytes in class ``kept``, never across texts."""
     low = LOWER[raw]

@@ -118,3 +118,25 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     labels = spark.createDataFrame(pa.table({"doc_id": list(range(n)), "toxic": [int(i < len(texts)) for i in range(n)]}))
     model = toxicity.train(documents, labels)
     assert (toxicity.evidence(model, pa.array(words))[:, 0] > 0).all()
+
+
+def test_texts_meet_their_labels_the_same_way_however_few(spark, monkeypatch):
+    """A few labels must not be broadcast: what is shuffled would jump where they are more."""
+    plans, write = [], toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
+    documents = spark.createDataFrame([(1, "you idiot"), (2, "the river"), (2, "is wide"), (None, "x"), (3, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, None), (3, 1), (None, 1)], "doc_id bigint, toxic int")
+    toxicity.train(documents, labels)
+    assert "ShuffledHashJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
+@pytest.mark.parametrize("kind", [np.int64, np.uint64])
+@pytest.mark.parametrize("n", [0, 1, 3000])
+def test_keys_are_found_as_by_a_plain_search(kind, n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(-(2**63), 2**63 - 1, n).view(kind))
+    others = np.concatenate([keys[:1] ^ kind(1 << 40), rng.integers(-(2**63), 2**63 - 1, 500).view(kind)])
+    asked = rng.permutation(np.concatenate([keys, keys[::7], others]))
+    place, hit = toxicity._Sorted(keys).find(asked)
+    assert hit.tolist() == np.flatnonzero(np.isin(asked, keys)).tolist()
+    assert keys[place].tolist() == asked[hit].tolist()

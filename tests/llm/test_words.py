@@ -53,3 +53,10 @@ def test_sums_and_distinct_values_per_text():
     assert distinct.tolist() == [1, 3, 2] and number.tolist() == [2, 0, 1]
     assert W.add_per_doc(values, count).tolist() == [7, 0, 4]
     assert W.add_per_doc(values.astype(float), count).tolist() == [7.0, 0.0, 4.0]
+
+
+def test_beginnings_are_hashed_like_whole_words():
+    raw = np.frombuffer(b"river wide idiot abcde", dtype=np.uint8)
+    found = W.beginning_hashes(raw, np.array([0, 6, 11, 17]), 4)
+    whole = W.cut(np.frombuffer(b"rive wide idio abcd", dtype=np.uint8), np.array([0, 19]), W.NON_SPACE)
+    assert found.tolist() == whole.hashes.tolist()
