@@ -1,9 +1,12 @@
 """The stand-in tables keep everything that the given tables hold."""
 
+import gzip
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from balcao.checks import warehouse
+from balcao.checks import queries, warehouse
 from balcao.checks.standins import STANDINS
 from balcao.checks.warehouse import open_warehouse
 
@@ -60,3 +63,18 @@ def test_line_items_are_shuffled_once_and_narrow(spark, folder, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 2  # of line items and of orders
     assert "l_shipdate" not in plans[0]
+
+
+def test_only_the_older_drop_is_written_as_plain_text(spark, folder, monkeypatch):
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, label: f"{folder}/{label}")
+    opened = open_warehouse(spark, SMALL)
+    found = queries.pick_drop_strict(opened)
+    every, settled = opened.raw("vendas").count(), opened.raw("vendas").filter("status <> 'PENDENTE'").count()
+    assert {r.escolha: r["count"] for r in found.groupBy("escolha").count().collect()} == {"latest": every, "first": settled, "all": every + settled}
+    written = list(pathlib.Path(folder, "drops").glob("*/part-*"))
+    assert len({path.parent for path in written}) == 5
+    assert {path.parent.name for path in written if path.suffix != ".gz"} == {f"vendas_{queries.OLD_STAMP}.csv"}
+    for stray in {path.parent for path in written if not path.parent.name.endswith((".csv.gz", f"{queries.OLD_STAMP}.csv"))}:
+        # Each stray holds all sales, though none is picked.
+        lines = sum(gzip.open(path, "rt").read().count("\n") - 1 for path in stray.glob("part-*"))
+        assert lines == every
