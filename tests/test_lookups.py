@@ -155,3 +155,13 @@ def test_reviews_keep_missing_sales(spark):
     assert [(r.venda_id, r.produto_nome, r.categoria) for r in found] == [
         (10, "copo", "Casa"), (11, None, None), (None, None, None)
     ]
+
+
+def test_default_lookup_is_shuffled_at_every_size(spark):
+    """A small file holds rows many times its size, which the driver would build to broadcast them."""
+    facts = spark.createDataFrame([(1, 7), (2, None)], "i bigint, k bigint")
+    dim = spark.createDataFrame([(7, "sete")], "k bigint, nome string")
+    found = lookups.lookup_default(facts, dim, "k", "nome", "nenhum", row_key="i")
+    plan = final_plan(found)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((r.i, r.nome) for r in found.collect()) == [(1, "sete"), (2, "nenhum")]
