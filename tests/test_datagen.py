@@ -27,6 +27,12 @@ def test_rules(made):
     assert len(counts) == 11 and set(counts.values()) == {0}
 
 
+def test_payments_broadcast_no_table(made):
+    """Neither products nor the freight of every sale is built on the driver, however small the files."""
+    paid = datagen.gen_pagamentos(made["vendas"], made["produtos"], made["fretes"])
+    assert "Broadcast" not in paid._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rules_notice_violations(made):
     spoiled = made["fretes"].filter("venda_id > 10").withColumn("valor_frete", F.lit(500.0))
     args = [made["vendas"], spoiled, made["pagamentos"], made["avaliacoes"].limit(50), made["cupons"]]
