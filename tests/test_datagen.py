@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from balcao.plans import datagen
 from balcao.plans import datagen_values as V
 from balcao.sources import drops, schemas
+from balcao.sources.scratch import stage
 
 VOLUMES = {"fornecedores": 20, "clientes": 500, "produtos": 80, "cupons": 40, "vendas": 4_000}
 
@@ -33,6 +34,15 @@ def test_payments_broadcast_no_table(made):
     assert "Broadcast" not in paid._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rules_broadcast_no_table(made):
+    """Neither coupons nor the sales that reviews are checked with are built on the driver."""
+    stored = {name: stage(made[name], name) for name in ("pagamentos", "avaliacoes")} | {
+        name: made[name] for name in ("vendas", "fretes", "cupons")
+    }
+    found = datagen.invariants(*[stored[n] for n in ("vendas", "fretes", "pagamentos", "avaliacoes", "cupons")])
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rules_notice_violations(made):
     spoiled = made["fretes"].filter("venda_id > 10").withColumn("valor_frete", F.lit(500.0))
     args = [made["vendas"], spoiled, made["pagamentos"], made["avaliacoes"].limit(50), made["cupons"]]
