@@ -1,5 +1,8 @@
 """Language, quality and toxicity: held-out accuracy, and awkward rows."""
 
+import time
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -140,3 +143,78 @@ def test_keys_are_found_as_by_a_plain_search(kind, n):
     place, hit = toxicity._Sorted(keys).find(asked)
     assert hit.tolist() == np.flatnonzero(np.isin(asked, keys)).tolist()
     assert keys[place].tolist() == asked[hit].tolist()
+
+
+def _odd_texts(n: int) -> list[str]:
+    rng = np.random.default_rng(n)
+    parts = ["a", "b", "tt", "ee", "1", "0", "!", "@", "$", "|", " ", " ", "  ", "\n", ".", "-", "é", "ж", "​", "\x00", "Idiot", "m o r o n ", "x" * 40]
+    return ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(n)]
+
+
+def _even_model(end: float = -3.3):
+    """Every letter is as likely after any two; ``end`` is the log probability of a word's end."""
+    trigrams = np.full((27, 27, 27), -3.3)
+    trigrams[:, :, 0] = end
+    return toxicity.ToxicityModel(trigrams, np.array([1], np.uint64), np.ones(1), np.zeros(4))
+
+
+def test_stretches_are_those_of_the_pattern():
+    low = [toxicity.W.LOWER[np.frombuffer(text.encode(), np.uint8)] for text in _odd_texts(3000)]
+    borders = np.concatenate([[0], np.cumsum([len(x) for x in low])])
+    docs, starts, ends, spells = toxicity._stretches(np.concatenate(low), borders)
+    for doc, text in enumerate(low):
+        meant = list(toxicity._DISGUISED.finditer(text.tobytes()))
+        if spells[doc]:
+            continue
+        assert all(m["spelled"] is None for m in meant)
+        mine = docs == doc
+        found = zip(starts[mine] - borders[doc], ends[mine] - borders[doc], strict=True)
+        assert [m.span() for m in meant] == [(int(a), int(b)) for a, b in found]
+    assert spells.any() and not spells.all()
+
+
+def test_evidence_does_not_depend_on_the_pieces():
+    texts = pa.array([*_odd_texts(500), None, "", "ж" * 500, "ab" * 3000, "a b " * 90])
+    restorer, found = toxicity._Restorer(_even_model().trigrams), []
+    for size in (1, 700, 1 << 20):
+        held = {}
+        for begin, _, parts, per_doc in toxicity._piecewise(texts, restorer, size):
+            held |= {begin + i: ([], int(n)) for i, n in enumerate(per_doc)}
+            for keys, docs in parts:
+                for key, doc in zip(keys.tolist(), docs.tolist(), strict=True):
+                    held[begin + doc][0].append(key)
+        found.append(held)
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(texts)
+
+
+def test_words_and_beginnings_of_any_length_have_numbers_of_their_own():
+    words = sorted({"x" * n + end for n in range(70) for end in ("y", "z")} | {"abcd", "abcde", "abcdef", "abcdefgh", "abcdefghi"})
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    start, stop, _ = toxicity._runs(toxicity._LETTER[raw], np.array([0, len(raw)]))
+    (keys, _), *beginnings = toxicity._evidence_keys(toxicity._padded(raw), start, stop - start, np.arange(len(words)))
+    assert len(np.unique(keys)) == len(words)
+    for size, (some, docs) in zip((4, 5), beginnings, strict=True):
+        assert not np.isin(some, keys).any()
+        assert len(np.unique(some)) == len({words[doc][:size] for doc in docs})
+        assert docs.tolist() == [i for i, word in enumerate(words) if len(word) > size]
+
+
+def test_evidence_costs_little_time_and_memory_beside_cutting_words():
+    """One pass over text in a core's cache: not several over arrays of 16 bytes and more per letter."""
+    text = "the tall river in the northern valley runs slowly past small hills and l3ttered fields, "
+    texts, model = pa.array([text * 40] * 600), _even_model(end=-0.1)
+    restorer, ratios = toxicity._Restorer(model.trigrams), []
+    toxicity.evidence(model, texts, restorer)
+    for _ in range(5):
+        began = time.thread_time()
+        for _, _, raw, offsets in toxicity.W.pieces(texts):
+            toxicity.W.cut(raw, offsets, toxicity._LETTER)
+        cut = time.thread_time() - began
+        toxicity.evidence(model, texts, restorer)
+        ratios.append((time.thread_time() - began - cut) / cut)
+    tracemalloc.start()
+    toxicity.evidence(model, texts, restorer)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * toxicity.W.PIECE
+    assert sorted(ratios)[2] < 6
